@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabulae.functions import is_finite
 from tabulae.operators import quality as Q
-from tabulae.plans.registry import query
+from tabulae.plans.registry import query, sround
 from tabulae.plans.tables import customers, labelled_documents, load, records
 from tabulae.spec import TableSpec
 
@@ -16,6 +16,11 @@ PRIORITIES_OK = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
 QUALITY_OK = ["0", "1"]
 NATION_MAX = 20
 
+RET = sround("100.0 * max_by(remaining, step_no) / min_by(remaining, step_no)", 2)
+PCT = sround("100.0 * m / n", 2)
+PCTA = sround("100.0 * a.m / a.n", 2)
+PCTB = sround("100.0 * b.m / b.n", 2)
+
 
 def customer_spec() -> TableSpec:
     bal = F.col("c_acctbal")
@@ -66,24 +71,24 @@ def q_funnel(spark, sf_dir):
     return Q.funnel(customers(spark, sf_dir), customer_spec(), "r_name")
 
 
-@query("retention", _FUNNEL_BASE + """
+@query("retention", _FUNNEL_BASE + f"""
   SELECT r_name, CAST(max_by(remaining, step_no) AS BIGINT) AS after,
          CAST(min_by(remaining, step_no) AS BIGINT) AS before,
-         round(100.0 * max_by(remaining, step_no) / min_by(remaining, step_no), 2) AS retained_pct
+         {RET} AS retained_pct
   FROM f GROUP BY r_name""")
 def q_retention(spark, sf_dir):
     """Before / after / % retained per region."""
     return Q.retention(Q.funnel(customers(spark, sf_dir), customer_spec(), "r_name"), "r_name")
 
 
-@query("largest_exclusion", _FUNNEL_BASE + """
+@query("largest_exclusion", _FUNNEL_BASE + f"""
   , s AS (SELECT * FROM f WHERE step_no > 0)
   , x AS (SELECT r_name, arg_max(step, excluded * 100 - step_no) AS worst_step,
                  CAST(max(excluded) AS BIGINT) AS worst_excluded, CAST(sum(excluded) AS BIGINT) AS total_excluded
           FROM s GROUP BY r_name)
   , t AS (SELECT r_name, CAST(max_by(remaining, step_no) AS BIGINT) AS after,
                  CAST(min_by(remaining, step_no) AS BIGINT) AS before,
-                 round(100.0 * max_by(remaining, step_no) / min_by(remaining, step_no), 2) AS retained_pct
+                 {RET} AS retained_pct
           FROM f GROUP BY r_name)
   SELECT x.*, t.before, t.after, t.retained_pct FROM x JOIN t USING (r_name)""")
 def q_largest_exclusion(spark, sf_dir):
@@ -108,7 +113,7 @@ def q_prepare(spark, sf_dir):
 
 _DOC_COLS = ["text", "lang", "source", "n_chars", "quality", "toxic"]
 _MISSING_SQL_ROWS = " UNION ALL ".join(
-    f"SELECT {'%s, ' if False else ''}'{c}' AS variable, {i} AS position, sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS m, count(*) AS n FROM dl"
+    f"SELECT '{c}' AS variable, {i} AS position, sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS m, count(*) AS n FROM dl"
     for i, c in enumerate(_DOC_COLS))
 _DL = "WITH dl AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))"
 
@@ -116,7 +121,7 @@ _DL = "WITH dl AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN lab
 @query("missing", _DL + f"""
   , m AS ({_MISSING_SQL_ROWS})
   SELECT variable, CAST(position AS INTEGER) AS position, CAST(m AS BIGINT) AS missing,
-         CASE WHEN n > 0 THEN round(100.0 * m / n, 2) ELSE 0.0 END AS pct, CAST(n AS BIGINT) AS rows FROM m""")
+         CASE WHEN n > 0 THEN {PCT} ELSE 0.0 END AS pct, CAST(n AS BIGINT) AS rows FROM m""")
 def q_missing(spark, sf_dir):
     """Missing count and % per variable of documents with their (optional) labels."""
     return Q.missing(labelled_documents(spark, sf_dir), _DOC_COLS)
@@ -130,7 +135,7 @@ _MISSING_BY_ROWS = " UNION ALL ".join(
 @query("missing_by_group", _DL + f"""
   , m AS ({_MISSING_BY_ROWS})
   SELECT lang, variable, CAST(position AS INTEGER) AS position, CAST(m AS BIGINT) AS missing,
-         CASE WHEN n > 0 THEN round(100.0 * m / n, 2) ELSE 0.0 END AS pct, CAST(n AS BIGINT) AS rows FROM m""")
+         CASE WHEN n > 0 THEN {PCT} ELSE 0.0 END AS pct, CAST(n AS BIGINT) AS rows FROM m""")
 def q_missing_by_group(spark, sf_dir):
     """Missingness per variable x language (long form)."""
     return Q.missing(labelled_documents(spark, sf_dir), _DOC_COLS, by="lang")
@@ -138,7 +143,7 @@ def q_missing_by_group(spark, sf_dir):
 
 @query("missing_pivot", _DL + f"""
   , m AS ({_MISSING_BY_ROWS})
-  , p AS (SELECT lang, variable, position, CASE WHEN n > 0 THEN round(100.0 * m / n, 2) ELSE 0.0 END AS pct FROM m)
+  , p AS (SELECT lang, variable, position, CASE WHEN n > 0 THEN {PCT} ELSE 0.0 END AS pct FROM m)
   SELECT variable, max(CASE WHEN lang = 'de' THEN pct END) AS de, max(CASE WHEN lang = 'en' THEN pct END) AS en,
          max(CASE WHEN lang = 'es' THEN pct END) AS es, max(CASE WHEN lang = 'fr' THEN pct END) AS fr
   FROM p GROUP BY variable""")
@@ -156,9 +161,9 @@ def _side(cond):
 
 @query("missing_side_by_side", _DL + f"""
   , a AS ({_side("lang = 'en'")}), b AS ({_side("lang <> 'en'")})
-  SELECT a.variable, CAST(a.m AS BIGINT) AS missing_en, CASE WHEN a.n > 0 THEN round(100.0 * a.m / a.n, 2) ELSE 0.0 END AS pct_en,
+  SELECT a.variable, CAST(a.m AS BIGINT) AS missing_en, CASE WHEN a.n > 0 THEN {PCTA} ELSE 0.0 END AS pct_en,
          CAST(a.n AS BIGINT) AS rows_en, CAST(b.m AS BIGINT) AS missing_other,
-         CASE WHEN b.n > 0 THEN round(100.0 * b.m / b.n, 2) ELSE 0.0 END AS pct_other, CAST(b.n AS BIGINT) AS rows_other
+         CASE WHEN b.n > 0 THEN {PCTB} ELSE 0.0 END AS pct_other, CAST(b.n AS BIGINT) AS rows_other
   FROM a JOIN b USING (variable)""")
 def q_missing_side_by_side(spark, sf_dir):
     """Missingness of English vs other documents side by side."""

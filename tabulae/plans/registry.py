@@ -52,3 +52,13 @@ def round_doubles(df: DataFrame, d: int = 4, skip: tuple[str, ...] = ()) -> Data
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def sround(expr: str, d: int = 2) -> str:
+    """DuckDB emulation of Spark's ``round(x, d)`` (half-up on the shortest decimal text of x).
+
+    Casting the double to a 12-decimal DECIMAL first recovers that text for any
+    value with at most 12 decimals; DuckDB's own ``round`` works on the binary
+    value and turns 1.005 into 1.0 where Spark gives 1.01.
+    """
+    return f"CAST(round(CAST(({expr}) AS DECIMAL(38,12)), {d}) AS DOUBLE)"
