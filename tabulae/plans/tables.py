@@ -24,7 +24,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     key; only the columns the bindings use are read.
     """
     li = load(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus")
     od = load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority", "o_orderstatus")
