@@ -1,0 +1,18 @@
+"""Partitioning helper for iterative (multi-pass) fits."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, columns=None) -> DataFrame:
+    """Make sure a frame that will be cached and scanned many times (model fits) has at
+    least one partition per core of the cluster.
+
+    Large inputs already have far more partitions than cores and pass through
+    untouched; a small or AQE-coalesced input is round-robin repartitioned so
+    every iteration of an iterative fit uses the whole cluster.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
