@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulae.functions import band_label, code_order, label_of
-from tabulae.operators.explore import pct_disc
+from tabulae.operators.quantiles import DISTRIBUTED, EXACT, quantile_expr, quantile_table, with_quantiles
 
 
 def _ok(label: str, prediction: str) -> Column:
@@ -119,9 +119,10 @@ def wins(table: DataFrame) -> DataFrame:
     return table.groupBy("better").agg(F.count(F.lit(1)).alias("groups"))
 
 
-def band_cuts(df: DataFrame, column: str, percentiles: Sequence[float], accuracy: int | None = None) -> DataFrame:
+def band_cuts(df: DataFrame, column: str, percentiles: Sequence[float], method: str = EXACT,
+              accuracy: int = 10000) -> DataFrame:
     """Band cut points = element-valued quantiles of ``column`` as one array row."""
-    return df.agg(pct_disc(column, list(percentiles), accuracy).alias("cuts"))
+    return quantile_table(df, column, list(percentiles), (), False, method, accuracy, "cuts")
 
 
 def collect_cuts(cuts: DataFrame) -> list[float]:
@@ -174,15 +175,17 @@ def band_gain(bands: DataFrame, model_a: str, model_b: str) -> DataFrame:
                 .withColumnRenamed(model_a, f"mae_{model_a}").withColumnRenamed(model_b, f"mae_{model_b}"))
 
 
-def decile_cuts(pred: DataFrame, prediction: str, groups: int = 10, accuracy: int | None = None) -> list[float]:
+def decile_cuts(pred: DataFrame, prediction: str, groups: int = 10, method: str = EXACT,
+                accuracy: int = 10000) -> list[float]:
     """Sorted distinct element quantiles i/groups of the prediction (at most groups-1 numbers)."""
     ps = [i / groups for i in range(1, groups)]
-    row = pred.agg(F.array_distinct(F.array_sort(pct_disc(prediction, ps, accuracy))).alias("c")).first()
-    return [float(x) for x in (row["c"] or [])]
+    q = quantile_table(pred, prediction, ps, (), False, method, accuracy, "c")
+    row = q.select(F.array_distinct(F.array_sort("c")).alias("c")).first()
+    return [float(x) for x in (row["c"] or []) if x is not None]
 
 
 def error_by_prediction_decile(pred: DataFrame, label: str, prediction: str, groups: int = 10,
-                               accuracy: int | None = None) -> DataFrame:
+                               method: str = EXACT, accuracy: int = 10000) -> DataFrame:
     """Calibration by quantile group of the prediction, ``[a, b)`` buckets, tied cuts merged.
 
     The cuts are the sorted distinct element quantiles i/groups (a bounded list
@@ -191,7 +194,7 @@ def error_by_prediction_decile(pred: DataFrame, label: str, prediction: str, gro
     a sum of literal comparisons so it stays inside whole-stage codegen.
     NULL / NaN predictions get a NULL bucket.
     """
-    cuts = decile_cuts(pred, prediction, groups, accuracy)
+    cuts = decile_cuts(pred, prediction, groups, method, accuracy)
     p = F.col(prediction)
     count = F.lit(0)
     for c in cuts:
@@ -204,21 +207,27 @@ def error_by_prediction_decile(pred: DataFrame, label: str, prediction: str, gro
                 .orderBy("decile"))
 
 
-def prediction_range(pred: DataFrame, columns: Mapping[str, str], accuracy: int | None = None) -> DataFrame:
+def prediction_range(pred: DataFrame, columns: Mapping[str, str], method: str = EXACT,
+                     accuracy: int = 10000) -> DataFrame:
     """min, P1, P99, max and count of negatives per column, one aggregate."""
     exprs, rows = [], []
     for i, (name, col) in enumerate(columns.items()):
         exprs += [F.min(col).cast("double").alias(f"mn{i}"), F.max(col).cast("double").alias(f"mx{i}"),
-                  pct_disc(col, [0.01, 0.99], accuracy).alias(f"q{i}"),
                   F.sum((F.col(col) < 0).cast("long")).alias(f"neg{i}")]
+        if method != DISTRIBUTED:
+            exprs.append(quantile_expr(col, [0.01, 0.99], False, method, accuracy).alias(f"q{i}"))
         rows.append(F.struct(F.lit(name).alias("series"), F.col(f"mn{i}").alias("min"),
                              F.col(f"q{i}")[0].cast("double").alias("p1"), F.col(f"q{i}")[1].cast("double").alias("p99"),
                              F.col(f"mx{i}").alias("max"), F.coalesce(F.col(f"neg{i}"), F.lit(0)).alias("negatives")))
-    return pred.agg(*exprs).select(F.inline(F.array(*rows)))
+    one = pred.agg(*exprs)
+    if method == DISTRIBUTED:
+        for i, col in enumerate(columns.values()):
+            one = with_quantiles(one, pred, col, [0.01, 0.99], (), False, method, accuracy, f"q{i}")
+    return one.select(F.inline(F.array(*rows)))
 
 
 def error_summary(pred: DataFrame, label: str, predictions: Mapping[str, str], high: float, tail: float,
-                  tolerance: float = 0.2, accuracy: int | None = None) -> DataFrame:
+                  tolerance: float = 0.2, method: str = EXACT, accuracy: int = 10000) -> DataFrame:
     """Size and sign of the errors per model.
 
     median absolute error; % of rows with |error| <= tolerance * actual; %
@@ -229,15 +238,20 @@ def error_summary(pred: DataFrame, label: str, predictions: Mapping[str, str], h
     exprs, rows = [], []
     for i, (name, col) in enumerate(predictions.items()):
         e = y - F.col(col)
-        exprs += [pct_disc(f"_ae{i}", 0.5, accuracy).cast("double").alias(f"med{i}"),
-                  F.avg((F.abs(e) <= tolerance * y).cast("double")).alias(f"in{i}"),
+        if method != DISTRIBUTED:
+            exprs.append(quantile_expr(f"_ae{i}", [0.5], False, method, accuracy).alias(f"med{i}"))
+        exprs += [F.avg((F.abs(e) <= tolerance * y).cast("double")).alias(f"in{i}"),
                   F.avg((e > 0).cast("double")).alias(f"un{i}"),
                   F.avg(F.when(y > high, (e > 0).cast("double"))).alias(f"uh{i}"),
                   F.sum(e * e).alias(f"sse{i}"), F.sum(F.when(y > tail, e * e)).alias(f"sst{i}")]
-        rows.append(F.struct(F.lit(name).alias("model"), F.col(f"med{i}").alias("median_abs_error"),
+        rows.append(F.struct(F.lit(name).alias("model"), F.col(f"med{i}")[0].cast("double").alias("median_abs_error"),
                              (100.0 * F.col(f"in{i}")).alias("pct_within_tolerance"),
                              (100.0 * F.col(f"un{i}")).alias("pct_under"),
                              (100.0 * F.col(f"uh{i}")).alias("pct_under_high"),
                              F.try_divide(100.0 * F.coalesce(F.col(f"sst{i}"), F.lit(0.0)), F.col(f"sse{i}")).alias("pct_sq_error_tail")))
     base = pred.select("*", *[F.abs(y - F.col(c)).alias(f"_ae{i}") for i, c in enumerate(predictions.values())])
-    return base.agg(*exprs).select(F.inline(F.array(*rows)))
+    one = base.agg(*exprs)
+    if method == DISTRIBUTED:
+        for i in range(len(predictions)):
+            one = with_quantiles(one, base, f"_ae{i}", [0.5], (), False, method, accuracy, f"med{i}")
+    return one.select(F.inline(F.array(*rows)))

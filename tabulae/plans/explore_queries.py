@@ -208,3 +208,43 @@ def q_hash_sample(spark, sf_dir):
     """Layout-independent sample of 500 records by seeded key hash."""
     return X.hash_sample(records(spark, sf_dir).select("l_orderkey", "l_linenumber", TARGET), 500,
                          ["l_orderkey", "l_linenumber"], 42)
+
+
+# --------------------------------------------------------------------------- distributed exact quantiles
+# Same results as the built-in exact aggregates (same oracle SQL), computed with
+# bounded per-task work: the at-scale path for continuous measures in hot groups.
+
+@query("describe_distributed", _describe_sql())
+def q_describe_distributed(spark, sf_dir):
+    """A1 with distributed exact percentiles."""
+    return round_doubles(X.describe(records(spark, sf_dir), NUMERICS, method="distributed"), 4)
+
+
+@query("by_period_distributed", RECORDS_SQL + f"""
+  SELECT period, count(*) AS rows, {rsql('quantile_cont(l_extendedprice, 0.5)')} AS median,
+         {rsql('avg(l_extendedprice)')} AS mean FROM r GROUP BY period""")
+def q_by_period_distributed(spark, sf_dir):
+    """A5 with distributed exact medians per quarter."""
+    return round_doubles(X.by_period(records(spark, sf_dir), "period", TARGET, method="distributed"), 4)
+
+
+@query("percentile_profile_distributed", RECORDS_SQL + f"""
+  , m AS (SELECT year, avg(l_extendedprice) AS mu FROM r GROUP BY year)
+  SELECT r.year, count(*) AS n, {rsql('avg(l_extendedprice)')} AS mean, {rsql('stddev_samp(l_extendedprice)')} AS sd,
+         {rsql('max(l_extendedprice)')} AS max,
+         {rsql('avg(power(l_extendedprice - mu, 3)) / power(avg(power(l_extendedprice - mu, 2)), 1.5)', 6)} AS skewness,
+         """ + ", ".join(f"{rsql(f'quantile_disc(l_extendedprice, {p})')} AS p{round(100 * p)}" for p in _PROFILE_PS) + """
+  FROM r JOIN m USING (year) GROUP BY r.year""")
+def q_percentile_profile_distributed(spark, sf_dir):
+    """A18 with distributed exact element percentiles per year."""
+    out = X.percentile_profile(records(spark, sf_dir), TARGET, "year", _PROFILE_PS, method="distributed")
+    return round_doubles(out, 4, skip=("skewness",)).withColumn("skewness", F.round(F.col("skewness") * 1e6, 0) / 1e6)
+
+
+@query("quantile_curve_distributed", RECORDS_SQL + f"""
+  , q AS (SELECT l_returnflag, quantile_disc(l_extendedprice, [{', '.join(repr(k / 100) for k in range(1, 100))}]) AS qs
+          FROM r GROUP BY l_returnflag)
+  SELECT l_returnflag, CAST(i AS INTEGER) AS q, {rsql('qs[i]')} AS value FROM q, range(1, 100) t(i)""")
+def q_quantile_curve_distributed(spark, sf_dir):
+    """A19 with distributed exact element quantiles."""
+    return round_doubles(X.quantile_curve(records(spark, sf_dir), TARGET, "l_returnflag", 99, method="distributed"), 4)

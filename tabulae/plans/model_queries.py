@@ -439,3 +439,22 @@ def q_final_scoring(spark, sf_dir):
         "forest": M.forest_pipeline(NUMERICS, CATEGORICALS, LABEL, 20, 6)})
     pred = M.score(models, test, LABEL, baseline_value=M.baseline(dev, LABEL))
     return E.metrics_table(pred, LABEL, {"baseline": "pred_baseline", "linear": "pred_linear", "forest": "pred_forest"})
+
+
+@query("band_cuts_distributed", SCORED_SQL + _CUTS_SQL + f"""
+  SELECT CAST(i AS INTEGER) AS i, {rsql('cuts[i]', 2)} AS cut FROM c, range(1, {len(BAND_PS) + 1}) t(i)""")
+def q_band_cuts_distributed(spark, sf_dir):
+    """E8 with distributed exact element quantiles."""
+    cuts = E.band_cuts(scored(spark, sf_dir), LABEL, BAND_PS, method="distributed")
+    return cuts.select(F.posexplode("cuts").alias("i", "cut")).select(
+        (F.col("i") + 1).cast("int").alias("i"), (F.round(F.col("cut") * 100.0, 0) / 100.0).alias("cut"))
+
+
+@query("error_summary_distributed", _summary_sql())
+def q_error_summary_distributed(spark, sf_dir):
+    """E13 with the median absolute error and thresholds from distributed exact quantiles."""
+    p = scored(spark, sf_dir)
+    hi, tail = E.collect_cuts(E.band_cuts(p, LABEL, [0.9, 0.95], method="distributed"))
+    out = E.error_summary(p, LABEL, PRED, high=hi, tail=tail, tolerance=0.2, method="distributed")
+    out = round_doubles(out, 6, skip=("median_abs_error",))
+    return out.withColumn("median_abs_error", F.round(F.col("median_abs_error") * 100.0, 0) / 100.0)

@@ -153,3 +153,10 @@ def q_contrast_specs(spark, sf_dir):
     t1, m1 = _grid(spark, sf_dir, VARS, r)
     t2, m2 = _grid(spark, sf_dir, with_log, r)
     return G.contrast({"without_target": (r, t1, m1), "with_log_target": (r, t2, m2)}, "l_quantity")
+
+
+@query("cluster_profile_distributed", _profile_sql())
+def q_cluster_profile_distributed(spark, sf_dir):
+    """G6 with distributed exact medians and quartiles per cluster label."""
+    out = G.cluster_profile(records(spark, sf_dir), VARS, TARGET, "l_returnflag", method="distributed")
+    return round_doubles(out, 4, skip=("pct",))
