@@ -104,6 +104,26 @@ def error_by_group(pred: DataFrame, column: str, label: str, predictions: Mappin
                .orderBy(*code_order("code")))
 
 
+def subset_summary(pred: DataFrame, column: str, codes: Sequence[str], predictions: Mapping[str, str],
+                   ps: Sequence[float] = (0.1, 0.9), method: str = EXACT, accuracy: int = 10000) -> DataFrame:
+    """Rows whose ``column`` is in ``codes``: n and, per model, mean prediction and element
+    percentiles of the prediction (F6)."""
+    sub = pred.filter(F.col(column).isin(list(codes)))
+    exprs, rows = [F.count(F.lit(1)).alias("n")], []
+    for i, (name, col) in enumerate(predictions.items()):
+        exprs.append(F.avg(col).alias(f"m{i}"))
+        if method != DISTRIBUTED:
+            exprs.append(quantile_expr(col, list(ps), False, method, accuracy).alias(f"q{i}"))
+    one = sub.agg(*exprs)
+    if method == DISTRIBUTED:
+        for i, col in enumerate(predictions.values()):
+            one = with_quantiles(one, sub, col, list(ps), (), False, method, accuracy, f"q{i}")
+    for i, name in enumerate(predictions):
+        rows.append(F.struct(F.lit(name).alias("model"), F.col("n").alias("n"), F.col(f"m{i}").alias("pred_mean"),
+                             *[F.col(f"q{i}")[k].cast("double").alias(f"p{round(100 * p)}") for k, p in enumerate(ps)]))
+    return one.select(F.inline(F.array(*rows)))
+
+
 def relative_error_by_group(table: DataFrame, model_a: str, model_b: str, min_n: int = 100) -> DataFrame:
     """Groups with n >= min_n: MAE relative to the mean actual for two models, and who wins."""
     t = table.filter(F.col("n") >= min_n)

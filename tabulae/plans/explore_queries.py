@@ -51,14 +51,17 @@ def q_summary(spark, sf_dir):
 
 
 @query("skewness", f"""
-  WITH s AS (SELECT avg(value) AS mu FROM events)
-  SELECT count(value) AS n, {rsql('avg(value)')} AS mean, {rsql('quantile_cont(value, 0.5)')} AS median,
-         {rsql('avg(power(value - mu, 3)) / power(avg(power(value - mu, 2)), 1.5)', 6)} AS skewness
-  FROM events, s""")
+  WITH s AS (SELECT avg(value) AS mu FROM events),
+  k AS (SELECT count(value) AS n, {rsql('avg(value)')} AS mean, {rsql('quantile_cont(value, 0.5)')} AS median,
+               avg(power(value - mu, 3)) / power(avg(power(value - mu, 2)), 1.5) AS g1 FROM events, s)
+  SELECT n, mean, median, {rsql('g1', 6)} AS skewness,
+         CASE WHEN g1 > 0.5 THEN 'right-skewed' WHEN g1 < -0.5 THEN 'left-skewed' ELSE 'roughly symmetric' END AS verdict
+  FROM k""")
 def q_skewness(spark, sf_dir):
-    """A2: mean, median and population skewness of the skewed event value."""
-    return round_doubles(X.skewness(load(spark, sf_dir, "events"), "value"), 4, skip=("skewness",)) \
-        .withColumn("skewness", F.round(F.col("skewness") * 1e6, 0) / 1e6)
+    """Mean, median and population skewness of the skewed event value, with a verdict."""
+    from tabulae.functions import skew_verdict
+    out = X.skewness(load(spark, sf_dir, "events"), "value").withColumn("verdict", skew_verdict("skewness"))
+    return round_doubles(out, 4, skip=("skewness",)).withColumn("skewness", F.round(F.col("skewness") * 1e6, 0) / 1e6)
 
 
 @query("category_counts", RECORDS_SQL + f"""

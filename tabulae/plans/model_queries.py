@@ -458,3 +458,28 @@ def q_error_summary_distributed(spark, sf_dir):
     out = E.error_summary(p, LABEL, PRED, high=hi, tail=tail, tolerance=0.2, method="distributed")
     out = round_doubles(out, 6, skip=("median_abs_error",))
     return out.withColumn("median_abs_error", F.round(F.col("median_abs_error") * 100.0, 0) / 100.0)
+
+
+@query("subset_summary", SCORED_SQL + " UNION ALL ".join(
+    f"""SELECT '{m}' AS model, count(*) AS n, {rsql(f'avg(pred_{m})', 2)} AS pred_mean,
+        {rsql(f'quantile_disc(pred_{m}, 0.1)', 2)} AS p10, {rsql(f'quantile_disc(pred_{m}, 0.9)', 2)} AS p90
+        FROM p WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""" for m in ("baseline", "ols")))
+def q_subset_summary(spark, sf_dir):
+    """urgent / high-priority subset: n, mean prediction, P10 and P90 per model."""
+    return round_doubles(E.subset_summary(scored(spark, sf_dir), "o_orderpriority", ["1-URGENT", "2-HIGH"], PRED), 2)
+
+
+@query("common_sample")
+def q_common_sample(spark, sf_dir):
+    """One common sample of 500 scored rows with every model's prediction and residual."""
+    from tabulae.operators.explore import hash_sample
+    p = scored(spark, sf_dir).select("l_orderkey", "l_linenumber", LABEL, *CATEGORICALS, "pred_baseline", "pred_ols",
+                                     "residual_baseline", "residual_ols")
+    return hash_sample(p, 500, ["l_orderkey", "l_linenumber"], 42)
+
+
+@query("importance_shares")
+def q_importance_shares(spark, sf_dir):
+    """Share of forest importance held by numeric vs categorical predictors."""
+    table, models = _grid(spark, sf_dir, "forest")
+    return M.importance_shares(M.importances(models["trees_20_depth_6"], NUMERICS), NUMERICS)

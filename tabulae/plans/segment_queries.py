@@ -160,3 +160,25 @@ def q_cluster_profile_distributed(spark, sf_dir):
     """G6 with distributed exact medians and quartiles per cluster label."""
     out = G.cluster_profile(records(spark, sf_dir), VARS, TARGET, "l_returnflag", method="distributed")
     return round_doubles(out, 4, skip=("pct",))
+
+
+@query("profile_assembly", RECORDS_SQL + f"""
+  , o AS (SELECT quantile_disc(l_extendedprice, 0.5) AS om FROM r)
+  , g AS (SELECT l_returnflag, count(*) AS n, {rsql('avg(l_quantity)', 4)} AS l_quantity_mean,
+                 {rsql('quantile_disc(l_extendedprice, 0.5) / any_value(om)', 6)} AS ratio FROM r, o GROUP BY l_returnflag)
+  , c AS (SELECT l_returnflag, o_orderpriority AS category, count(*) AS cn FROM r GROUP BY ALL)
+  , p AS (SELECT l_returnflag, category, {sround('100.0 * cn / sum(cn) OVER (PARTITION BY l_returnflag)', 2)} AS pct FROM c)
+  , k AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY pct DESC,
+                 try_cast(category AS DOUBLE) NULLS LAST, category) AS rn FROM p)
+  SELECT g.l_returnflag, g.n, g.l_quantity_mean, g.ratio, k.category AS dominant, k.pct AS dominant_pct
+  FROM g JOIN k ON g.l_returnflag = k.l_returnflag AND k.rn = 1""")
+def q_profile_assembly(spark, sf_dir):
+    """Profile table assembled from cluster-keyed parts (size, mean, median ratio, dominant category)."""
+    r = records(spark, sf_dir)
+    prof = G.cluster_profile(r, ["l_quantity"], TARGET, "l_returnflag").select(
+        "l_returnflag", "n", (F.round(F.col("l_quantity_mean") * 1e4, 0) / 1e4).alias("l_quantity_mean"))
+    ratio = X.median_ratio(r, "l_returnflag", TARGET).select(
+        "l_returnflag", (F.round(F.col("ratio") * 1e6, 0) / 1e6).alias("ratio"))
+    dom = G.dominant(G.composition_long(r, "o_orderpriority", "l_returnflag"), "l_returnflag").select(
+        "l_returnflag", F.col("category").alias("dominant"), F.col("pct").alias("dominant_pct"))
+    return prof.join(ratio, "l_returnflag").join(dom, "l_returnflag")
