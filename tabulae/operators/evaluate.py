@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulae.functions import band_label, code_order, label_of
@@ -55,10 +55,15 @@ def metrics_table(pred: DataFrame, label: str, predictions: Mapping[str, str]) -
 
 
 def improvement(table: DataFrame, baseline: str, metrics_cols: Sequence[str] = ("mae", "rmse")) -> DataFrame:
-    """% improvement of each model over the baseline row for each metric."""
+    """% improvement of each model over the baseline row for each metric.
+
+    ``table`` has one row per model; the baseline value reaches every row through a
+    window over that small table, so the (possibly expensive) metrics are computed once.
+    """
+    everyone = Window.partitionBy()
     out = table
     for m in metrics_cols:
-        base = table.filter(F.col("model") == baseline).select(F.first(m)).scalar()
+        base = F.max(F.when(F.col("model") == baseline, F.col(m))).over(everyone)
         out = out.withColumn(f"{m}_improvement_pct", F.try_divide(100.0 * (base - F.col(m)), base))
     return out
 
