@@ -4,15 +4,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, columns=None) -> DataFrame:
-    """Make sure a frame that will be cached and scanned many times (model fits) has at
-    least one partition per core of the cluster.
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a frame that will be cached and scanned many times (model fits) over the
+    cluster's configured parallelism: max(default parallelism, spark.sql.shuffle.partitions).
 
-    Large inputs already have far more partitions than cores and pass through
-    untouched; a small or AQE-coalesced input is round-robin repartitioned so
-    every iteration of an iterative fit uses the whole cluster.
+    One lazy shuffle before the fit; every iteration then uses every core, whatever the
+    layout of the source (a single large row group, an AQE-coalesced join output).  The
+    explicit count keeps AQE from coalescing it back.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    spark = df.sparkSession
+    conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    n = max(spark.sparkContext.defaultParallelism, int(conf) if conf.isdigit() else 200)
+    return df.repartition(n)

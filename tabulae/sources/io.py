@@ -68,21 +68,26 @@ def load_delivery(spark: SparkSession, path: str, period: str, required: Sequenc
 
 def typed_table(spark: SparkSession, target: str, periods: Sequence[str],
                 build: Callable[[str], DataFrame], partition: str = "period", reuse: bool = True) -> DataFrame:
-    """Convert-once typed store (S6): each period is converted only when its partition is absent.
+    """Convert-once typed store (S6): only periods whose partition is absent are converted.
 
-    The table is partitioned by period and written with dynamic partition
-    overwrite, so converting one period never rewrites the others; readers
-    then prune partitions by period.
+    All missing periods are converted by one write job (their frames stacked by
+    name) into the period-partitioned table with dynamic partition overwrite, so
+    existing periods are never rewritten; readers then prune partitions by period.
     """
-    for period in periods:
-        part = f"{target.rstrip('/')}/{partition}={period}"
-        if reuse and exists(spark, part):
-            continue
+    missing = [p for p in periods
+               if not (reuse and exists(spark, f"{target.rstrip('/')}/{partition}={p}"))]
+    frames = []
+    for period in missing:
         df = build(period)
         if partition in df.columns:
             df = df.drop(partition)
-        (df.withColumn(partition, F.lit(period)).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(target))
+        frames.append(df.withColumn(partition, F.lit(period)))
+    if frames:
+        stacked = frames[0]
+        for f in frames[1:]:
+            stacked = stacked.unionByName(f, allowMissingColumns=True)
+        (stacked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy(partition).parquet(target))
     return spark.read.parquet(target).filter(F.col(partition).isin(list(periods)))
 
 

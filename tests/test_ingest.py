@@ -109,3 +109,12 @@ def test_streaming_ingest_processes_each_file_once(spark, deliveries, scratch):
     q.awaitTermination(120)
     t = read_typed(spark, sink)
     assert t.count() == 3 and {r.period for r in t.select("period").distinct().collect()} == {"2025Q1", "2025Q2"}
+
+
+def test_cut_lineage_uses_shared_checkpoint_dir(spark):
+    from tabulae.sources import checkpoint_dir, cut_lineage
+    assert checkpoint_dir(spark)  # set by the test session only because it was unset
+    df = spark.range(100).withColumn("x", F.col("id") * 2).filter("x > 10")
+    cut = cut_lineage(df)
+    assert cut.count() == df.count() == 94
+    assert "Filter" not in cut._jdf.queryExecution().optimizedPlan().toString()
