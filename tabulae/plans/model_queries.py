@@ -17,7 +17,7 @@ from tabulae.operators import features as FE
 from tabulae.operators import models as M
 from tabulae.plans.explore_queries import RECORDS_SQL
 from tabulae.plans.quality_queries import PRIORITIES_OK
-from tabulae.plans.registry import query, round_doubles, rsql, sround
+from tabulae.plans.registry import query, round_doubles, rsql
 from tabulae.plans.tables import records
 
 LABEL = "l_extendedprice"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabulae.functions import is_finite
 from tabulae.operators import quality as Q
 from tabulae.plans.registry import query, sround
-from tabulae.plans.tables import customers, labelled_documents, load, records
+from tabulae.plans.tables import customers, labelled_documents, load
 from tabulae.spec import TableSpec
 
 # Fixed values of the bindings (chosen for the test tables, not from the reference).

@@ -36,14 +36,14 @@ def stream_deliveries(spark: SparkSession, source_dir: str, columns: Sequence[st
     reader = spark.readStream.schema(text_schema([normalise_name(c) for c in columns]))
     if fmt == "csv":
         reader = reader.option("header", "true")
-    raw = reader.format(fmt).load(source_dir)
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    raw = reader.format(fmt).load(source_dir).select("*", F.col("_metadata.file_name").alias("source"))
+    name = F.col("source")
     if isinstance(period_of_file, Mapping):
         lookup = F.create_map(*[F.lit(v) for kv in period_of_file.items() for v in kv])
         period = F.try_element_at(lookup, name)
     else:
         period = period_of_file(name)
-    typed = harmonise(raw, renames, doubles, ints, codes).select("*", period.alias("period"), name.alias("source"))
+    typed = harmonise(raw, renames, doubles, ints, codes).select("*", period.alias("period"))
     writer = (typed.writeStream.format("parquet").option("path", sink_dir)
                    .option("checkpointLocation", checkpoint).partitionBy("period").outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
