@@ -20,9 +20,11 @@ values with bounded per-task work:
 
 Should a bracket miss its rank (it cannot under the sketch's guarantee), that
 probability falls back to the whole group, so the answer is exact either way.
-Definitions match Spark: element quantile = the value at 1-based rank
-``max(1, ceil(p * n))``; interpolated quantile at position ``p * (n - 1)``
-combined as ``(hi - pos) * v_lo + (pos - lo) * v_hi``.
+Definitions: element quantile = the value at 1-based rank ``max(1, ceil(p * n))``
+with the product taken in exact decimal arithmetic on p as written (Spark's
+double product can drift above an integer rank; ``disc_probability`` corrects the
+built-in the same way); interpolated quantile at position ``p * (n - 1)``
+combined as ``(hi - pos) * v_lo + (pos - lo) * v_hi``, as Spark does.
 """
 from __future__ import annotations
 
@@ -60,7 +62,9 @@ def exact_quantiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequence
             pos = F.lit(p) * (n - 1)
             k1, k2 = F.floor(pos) + 1, F.ceil(pos) + 1
         else:
-            k1 = F.greatest(F.lit(1), F.ceil(F.lit(p) * n))
+            # rank ceil(p * n) in exact decimal arithmetic on p as written (no double drift)
+            exact = F.lit(repr(p)).cast("decimal(38,18)") * F.col("_n").cast("decimal(38,0)")
+            k1 = F.greatest(F.lit(1), F.ceil(exact))
             k2 = k1
         ranks += [k1.cast("long").alias(f"_a{j}"), k2.cast("long").alias(f"_z{j}")]
     stats = stats.select(*keys_j, "_n", "_b", *ranks)
@@ -143,6 +147,17 @@ def _check(method: str) -> None:
         raise ValueError(f"method must be one of {METHODS}")
 
 
+def disc_probability(p: float) -> float:
+    """Probability handed to Spark's element quantile so that its double product ``p * n``
+    cannot drift above an exact integer rank (0.28 * 25 = 7.000000000000001 -> rank 8).
+
+    Lowering p by a relative 1e-15 removes that drift and moves no other rank: a
+    non-integer ``p * n`` for a p with up to 6 decimals is at least 1e-6 away from an
+    integer, far more than the shift for any n below 1e9.
+    """
+    return p * (1.0 - 1e-15) if 0.0 < p < 1.0 else p
+
+
 def quantile_expr(c: str, ps, interpolate: bool, method: str = EXACT, accuracy: int = 10000):
     """Aggregate expression for the in-pass methods: exact built-in or approximate sketch."""
     _check(method)
@@ -154,9 +169,9 @@ def quantile_expr(c: str, ps, interpolate: bool, method: str = EXACT, accuracy:
     if interpolate:
         return F.percentile(F.col(c), list(ps) if many else ps)
     if many:
-        arr = ", ".join(repr(float(p)) for p in ps)
+        arr = ", ".join(repr(disc_probability(float(p))) for p in ps)
         return F.expr(f"percentile_disc(array({arr})) WITHIN GROUP (ORDER BY `{c}`)")
-    return F.expr(f"percentile_disc({float(ps)!r}) WITHIN GROUP (ORDER BY `{c}`)")
+    return F.expr(f"percentile_disc({disc_probability(float(ps))!r}) WITHIN GROUP (ORDER BY `{c}`)")
 
 
 def quantile_table(df: DataFrame, value: str, ps: Sequence[float], by: Sequence[str] = (),

@@ -30,11 +30,7 @@ def data(spark):
 @pytest.mark.parametrize("accuracy", [50, 10000])
 def test_matches_builtin(data, interpolate, accuracy):
     got = {(r.g, r.j): r.value for r in exact_quantiles(data, "x", PS, ["g"], interpolate, accuracy).collect()}
-    if interpolate:
-        ref = data.groupBy("g").agg(F.percentile("x", PS).alias("q"))
-    else:
-        arr = ", ".join(map(str, PS))
-        ref = data.groupBy("g").agg(F.expr(f"percentile_disc(array({arr})) WITHIN GROUP (ORDER BY x)").alias("q"))
+    ref = quantile_table(data, "x", PS, ["g"], interpolate, method="exact", name="q")
     for r in ref.collect():
         for j in range(len(PS)):
             assert got[(r.g, j)] == r.q[j], (r.g, PS[j])
@@ -45,3 +41,18 @@ def test_ungrouped_and_table_shape(data):
     ref = data.agg(F.expr("percentile_disc(array(0.5, 0.9)) WITHIN GROUP (ORDER BY x)")).first()[0]
     assert list(t) == list(ref)
     assert quantile_table(data, "x", [0.5], ["g"], method="approx").count() == 5
+
+
+def test_element_rank_is_exact_decimal(spark):
+    """rank = ceil(p * n) on p as written: Spark's double product drifts above integer ranks
+    (0.28 * 25 = 7.000000000000001); both methods must still pick rank 7."""
+    import math
+    from fractions import Fraction
+    ps = [k / 100 for k in range(1, 100)]
+    for n in (25, 175, 1250):
+        vals = [float(i) for i in range(1, n + 1)]
+        random.Random(n).shuffle(vals)
+        df = spark.createDataFrame([(v,) for v in vals], "x double")
+        want = [float(max(1, math.ceil(Fraction(repr(p)) * n))) for p in ps]
+        for method in ("exact", "distributed"):
+            assert list(quantile_table(df, "x", ps, method=method).first()[0]) == want, (n, method)
