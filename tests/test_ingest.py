@@ -118,3 +118,20 @@ def test_cut_lineage_uses_shared_checkpoint_dir(spark):
     cut = cut_lineage(df)
     assert cut.count() == df.count() == 94
     assert "Filter" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bucketed_tables_join_without_shuffle(spark, scratch):
+    from tabulae.sources import write_bucketed
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_extendedprice")
+    od = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(F.col("o_orderkey").alias("l_orderkey"),
+                                                                          "o_orderpriority")
+    write_bucketed(li, "li_b", ["l_orderkey"], 8, os.path.join(scratch, "li_b"))
+    write_bucketed(od, "od_b", ["l_orderkey"], 8, os.path.join(scratch, "od_b"))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the sort-merge path a big join takes
+    try:
+        j = spark.table("li_b").join(spark.table("od_b"), "l_orderkey").groupBy("l_orderkey").count()
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and j.count() == li.select("l_orderkey").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
