@@ -251,3 +251,22 @@ def q_percentile_profile_distributed(spark, sf_dir):
 def q_quantile_curve_distributed(spark, sf_dir):
     """A19 with distributed exact element quantiles."""
     return round_doubles(X.quantile_curve(records(spark, sf_dir), TARGET, "l_returnflag", 99, method="distributed"), 4)
+
+
+@query("period_variation", RECORDS_SQL + f"""
+  , g AS (SELECT period, quantile_cont(l_extendedprice, 0.5) AS median FROM r GROUP BY period)
+  , e AS (SELECT arg_max(period, median) AS highest_group, max(median) AS highest,
+                 arg_min(period, median) AS lowest_group, min(median) AS lowest FROM g)
+  , t AS (SELECT max(l_extendedprice) AS mx, quantile_cont(l_extendedprice, 0.5) AS md FROM r)
+  SELECT highest_group, {rsql('highest')} AS highest, lowest_group, {rsql('lowest')} AS lowest,
+         {rsql('highest / lowest', 6)} AS ratio, {rsql('mx / md', 6)} AS max_over_median FROM e, t""")
+def q_period_variation(spark, sf_dir):
+    """Quarters with the highest / lowest median, their ratio, and the target's max / median."""
+    r = records(spark, sf_dir)
+    per = X.by_period(r, "period", TARGET)
+    out = X.extremes(per, "period", "median")
+    d = X.describe(r, [TARGET], percentiles=()).select((F.col("max") / F.col("median")).alias("max_over_median"))
+    out = out.withColumn("max_over_median", d.select("max_over_median").scalar())
+    out = round_doubles(out, 4, skip=("ratio", "max_over_median"))
+    return (out.withColumn("ratio", F.round(F.col("ratio") * 1e6, 0) / 1e6)
+               .withColumn("max_over_median", F.round(F.col("max_over_median") * 1e6, 0) / 1e6))
