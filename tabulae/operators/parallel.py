@@ -5,14 +5,12 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a frame that will be cached and scanned many times (model fits) over the
-    cluster's configured parallelism: max(default parallelism, spark.sql.shuffle.partitions).
+    """Round-robin a frame that will be cached and scanned many times (model fits) into
+    two partitions per core of the cluster (``2 * defaultParallelism``).
 
     One lazy shuffle before the fit; every iteration then uses every core, whatever the
-    layout of the source (a single large row group, an AQE-coalesced join output).  The
-    explicit count keeps AQE from coalescing it back.
+    layout of the source (a single large row group, an AQE-coalesced join output), and
+    the partition count follows the cluster, not the data.  The explicit count keeps AQE
+    from coalescing it back.
     """
-    spark = df.sparkSession
-    conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
-    n = max(spark.sparkContext.defaultParallelism, int(conf) if conf.isdigit() else 200)
-    return df.repartition(n)
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
