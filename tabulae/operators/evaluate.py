@@ -26,7 +26,7 @@ def _metric_exprs(label: str, prediction: str, tag: str) -> list[Column]:
     e = F.when(ok, F.col(label) - F.col(prediction))
     return [F.count(e).alias(f"n_{tag}"), F.avg(F.abs(e)).alias(f"mae_{tag}"),
             F.sum(e * e).alias(f"sse_{tag}"), F.var_pop(F.when(ok, F.col(label))).alias(f"vy_{tag}"),
-            F.sum((~ok).cast("long")).alias(f"skipped_{tag}")]
+            F.coalesce(F.sum((~ok).cast("long")), F.lit(0)).alias(f"skipped_{tag}")]
 
 
 def _metric_struct(name: str, tag: str) -> Column:

@@ -84,3 +84,17 @@ def test_band_gain(spark):
     d = spark.createDataFrame([(float(v), float(v) + 1, 350.0) for v in (100, 200, 300, 400)], "y double, a double, b double")
     g = E.band_gain(E.error_by_band_models(d, "y", {"a": "a", "b": "b"}, [250.0]), "a", "b").collect()
     assert all(r.winner == "a" for r in g)
+
+
+def test_decile_nan_and_null_predictions_get_null_bucket(spark):
+    rows = [(float(i), float(i)) for i in range(1, 21)] + [(5.0, float("nan")), (6.0, None)]
+    d = spark.createDataFrame(rows, "y double, p double")
+    t = {r.decile: r.n for r in E.error_by_prediction_decile(d, "y", "p", 4).collect()}
+    assert t[None] == 2 and sum(v for k, v in t.items() if k is not None) == 20
+
+
+def test_empty_inputs(spark):
+    d = spark.createDataFrame([], "y double, p double")
+    r = E.metrics(d, "y", "p").first()
+    assert (r.n, r.mae, r.rmse, r.skipped) == (0, None, None, 0)
+    assert E.error_by_band(d, "y", "p", [1.0]).count() == 0
