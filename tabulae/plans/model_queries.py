@@ -404,7 +404,9 @@ def q_forest_grid(spark, sf_dir):
 def q_choose_best(spark, sf_dir):
     """Configuration with the least validation RMSE of the forest grid, and the RMSE range."""
     table = _grid(spark, sf_dir, "forest")[0]
-    return M.choose_best(table).join(E.metric_range(table), how="inner")
+    spread_ = E.metric_range(table).select(F.struct("min", "max", "range").alias("s")).select("s").scalar()
+    return M.choose_best(table).select("*", spread_["min"].alias("min"), spread_["max"].alias("max"),
+                                       spread_["range"].alias("range"))
 
 
 @query("importances")
