@@ -47,6 +47,8 @@ def exact_quantiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequence
     v = F.col("_v")
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(v.isNotNull())
     if not keys:
+        # ungrouped: one constant key, so the per-group tables below have exactly one row and
+        # every join with them is a broadcast of that single row
         base = base.withColumn("_k", F.lit(1))
         keys_j = ["_k"]
     else:
