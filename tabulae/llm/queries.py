@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulae.llm import bpe, decontaminate, url_filter
+from tabulae.llm import bpe, decontaminate, edit_embedding, near_dup, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -100,3 +100,21 @@ FROM r
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's URL."""
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op6_minhash")
+def minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on four-word shingles."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+@query("op2_sharding")
+def balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards with row counts at most one apart, equal texts together."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query("op10_edit_fingerprint")
+def edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, with the next document's likeness."""
+    return edit_embedding.neighbours_compared(table(spark, sf_dir, "documents"))
