@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulae.llm import bpe, decontaminate, edit_embedding, near_dup, sharding, url_filter
+from tabulae.llm import bpe, decontaminate, edit_embedding, near_dup, sharding, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -118,3 +118,9 @@ def balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text, with the next document's likeness."""
     return edit_embedding.neighbours_compared(table(spark, sf_dir, "documents"))
+
+
+@query("op4_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labels that are not held out."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
