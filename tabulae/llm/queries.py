@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulae.llm import bpe, decontaminate, edit_embedding, near_dup, sharding, toxicity, url_filter
+from tabulae.llm import bpe, decontaminate, edit_embedding, language, near_dup, sharding, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -124,3 +124,10 @@ def edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from labels that are not held out."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_language_id")
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page from its text, markup, address and host; the text model is fitted on documents."""
+    model = language.fit(table(spark, sf_dir, "documents"))
+    return language.page_languages(table(spark, sf_dir, "pages"), model)
