@@ -6,11 +6,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulae.llm import bpe, decontaminate, edit_embedding, language, near_dup, sharding, toxicity, url_filter
+from tabulae.llm import bpe, decontaminate, edit_embedding, language, near_dup, sharding, toxicity, training_order, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def vocabulary_path(name: str) -> str:
@@ -131,3 +132,9 @@ def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every page from its text, markup, address and host; the text model is fitted on documents."""
     model = language.fit(table(spark, sf_dir, "documents"))
     return language.page_languages(table(spark, sf_dir, "pages"), model)
+
+
+@query("op3_training_order")
+def training_order_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots of all token sequences of the documents, as read back from the written shards."""
+    return training_order.ordered_digest(table(spark, sf_dir, "documents"), vocabulary_path(BYTE_VOCABULARY))
