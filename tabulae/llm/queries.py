@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulae.llm import bpe, decontaminate, edit_embedding, language, near_dup, sharding, toxicity, training_order, url_filter
+from tabulae.llm import bpe, decontaminate, edit_embedding, language, license_scan, near_dup, sharding, toxicity, training_order, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -138,3 +138,9 @@ def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def training_order_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slots of all token sequences of the documents, as read back from the written shards."""
     return training_order.ordered_digest(table(spark, sf_dir, "documents"), vocabulary_path(BYTE_VOCABULARY))
+
+
+@query("op7_license_scan")
+def license_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document with their coverage and spans."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
