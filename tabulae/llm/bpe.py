@@ -79,8 +79,8 @@ class Codec:
         self.inner = [self.ids[c] for c in letters]
         self.last = [self.ids[c + self.end] for c in letters]
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.words: dict[str, tuple[int, str, str]] = {}
-        self.older: dict[str, tuple[int, str, str]] = {}  # the words before these: two generations
+        self.words: dict[str, tuple[list[int], str, str]] = {}
+        self.older: dict[str, tuple[list[int], str, str]] = {}  # the words before these: two generations
 
     def merge(self, word: str) -> list[int]:
         """Token ids of one word."""
@@ -116,32 +116,32 @@ class Codec:
                     heappush(queue, r * n + h)
         return [s for s in symbols if s >= 0]
 
-    def word(self, word: str) -> tuple[int, str, str]:
-        """A word's number of tokens, their ids and their strings, both joined by spaces."""
+    def word(self, word: str) -> tuple[list[int], str, str]:
+        """A word's ids, their decimal numbers and their strings, both joined by spaces."""
         found = self.older.get(word)
         if found is None:
             ids = self.merge(word)
             strings = self.strings
-            found = (len(ids), " ".join(map(str, ids)), " ".join([strings[i] for i in ids]))
+            found = (ids, " ".join(map(str, ids)), " ".join([strings[i] for i in ids]))
         if len(self.words) >= CACHED_WORDS:
             self.words, self.older = {}, self.words
         self.words[word] = found
         return found
 
-    def pieces(self, text: str) -> list[tuple[int, str, str]]:
-        """The words of a text in order, each with its number of tokens, ids and strings."""
+    def pieces(self, text: str) -> list[tuple[list[int], str, str]]:
+        """The words of a text in order, each with its ids, numbers and strings."""
         out = []
         at = 0
         if self.cut and any(s in text for s in self.special):
             for m in self.cut.finditer(text):
                 out += self._plain(text[at:m.start()])
                 i = self.special[m.group()]
-                out.append((1, str(i), m.group()))
+                out.append(([i], str(i), m.group()))
                 at = m.end()
         out += self._plain(text[at:] if at else text)
         return out
 
-    def _plain(self, text: str) -> list[tuple[int, str, str]]:
+    def _plain(self, text: str) -> list[tuple[list[int], str, str]]:
         if not text.isascii():
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
@@ -156,7 +156,7 @@ class Codec:
         return [words.get(w) or make(w) for w in _LATIN_WORDS.findall(text)]
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split(" ")]
+        return [i for ids, _, _ in self.pieces(text) for i in ids]
 
     def decode(self, ids: list[int]) -> str:
         """Vocabulary strings, special ones too, joined by single spaces; unknown ids are left out."""
@@ -210,10 +210,27 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         out: dict[str, list] = {k: [] for k in _DIGEST}
         for text in texts.to_pylist():
             pieces = codec.pieces(text or "")
-            out["n_tokens"].append(sum([p[0] for p in pieces]))
+            out["n_tokens"].append(sum([len(p[0]) for p in pieces]))
             out["ids_sha256"].append(hashlib.sha256(" ".join([p[1] for p in pieces]).encode()).hexdigest())
             out["decoded_sha256"].append(hashlib.sha256(" ".join([p[2] for p in pieces]).encode()).hexdigest())
         return structs(_DIGEST, out)
 
     return (docs.select(F.col(f"`{id_col}`").alias(id_col), run(F.col(f"`{text_col}`")).alias("digest"))
             .select(id_col, "digest.*"))
+
+
+def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: the id, ``n_tokens``, ``ids`` and ``decoded_sha256``, as in ``round_trip``."""
+    block = load(docs.sparkSession, path)
+
+    @F.arrow_udf("struct<ids array<int>, decoded_sha256 string>")
+    def run(texts: pa.Array) -> pa.Array:
+        codec = built(block, Codec)
+        ids, digests = [], []
+        for text in texts.to_pylist():
+            ids.append(codec.encode(text or ""))
+            digests.append(hashlib.sha256(codec.decode(ids[-1]).encode()).hexdigest())
+        return structs({"ids": pa.list_(pa.int32()), "decoded_sha256": pa.string()}, {"ids": ids, "decoded_sha256": digests})
+
+    out = docs.select(F.col(f"`{id_col}`").alias(id_col), run(F.col(f"`{text_col}`")).alias("t"))
+    return out.select(id_col, F.size("t.ids").cast("long").alias("n_tokens"), "t.ids", "t.decoded_sha256")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulae.llm.common import SPACED_BYTES, blobs, discard, ship, utf8, written
+from tabulae.llm.common import SPACED_BYTES, blobs, discard, free_name, ship, utf8, written
 from tabulae.llm.components import components
 
 #: Unless a caller says otherwise.
@@ -167,17 +167,8 @@ def row_id(id_col: str, text_col: str) -> Column:
     return F.coalesce(F.col(f"`{id_col}`").cast("long"), made)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                    percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per row of ``docs``: the id, ``n_shingles`` (size of the distinct set), ``component_id`` (smallest
-    id reachable over links, its own included) and ``kept`` (id = component_id).
-
-    Documents are linked if 100 * intersection >= percent * union of their sets.  A null or
-    empty text has an empty set and is linked with nothing.  Repeated rows are equal texts and
-    so one group; they are all ``kept`` if their id is the group's.  A row without an id takes
-    part after all others; its ``component_id`` is null if its group has no id.  Only the id
-    and the text are read.
-    """
+def grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """Rows (id, n, component) of all rows of ``docs``, where an id may be one that ``row_id`` made."""
     ship(docs.sparkSession)
     texts = docs.select(row_id(id_col, text_col).alias("id"), utf8(text_col).alias("text"))
     signed = written(texts.mapInArrow(_sign(words, bands, rows), "id long, n long, digest binary, bands array<long>"))
@@ -206,12 +197,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         found = components(links.union(more))
     of = classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
-    out = signed.join(of, "digest", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
+    return signed.join(of, "digest", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                    percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row per row of ``docs``: the id, ``n_shingles`` (size of the distinct set), ``component_id`` (smallest
+    id reachable over links, its own included) and ``kept`` (id = component_id).
+
+    Documents are linked if 100 * intersection >= percent * union of their sets.  A null or
+    empty text has an empty set and is linked with nothing.  Repeated rows are equal texts and
+    so one group; they are all ``kept`` if their id is the group's.  A row without an id takes
+    part after all others; its ``component_id`` is null if its group has no id.  Only the id
+    and the text are read.
+    """
+    out = grouped(docs, id_col, text_col, words, percent, bands, rows)
     known = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
     return out.select(known("id").alias(id_col), F.col("n").alias("n_shingles"), known("component").alias("component_id"),
                       (F.col("id") == F.col("component")).alias("kept"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
+             bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``docs`` with one document of each group, the one with the smallest id, and its columns.
+
+    Rows with equal ids and equal texts are one document and leave one row.
+    """
+    found = grouped(docs, id_col, text_col, words, percent, bands, rows)
+    kept = found.filter("id = component").select("id").distinct()
+    name, text = free_name(docs, "row"), F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"))
+    marked = docs.withColumn(name, row_id(id_col, text_col))
+    here = marked.join(kept, marked[name] == kept["id"], "left_semi")
+    digest = free_name(here, "digest")
+    return here.withColumn(digest, text).dropDuplicates([name, digest]).drop(name, digest)
+
+
 def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that hold on the full texts, as a written table."""
     pairs = written(pairs.distinct())

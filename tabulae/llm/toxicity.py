@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulae.llm.common import built, discard, ship, written
+from tabulae.llm.common import built, discard, free_name, ship, written
 
 #: Labelled rows that the fit reads at most, and patterns that it keeps at most.
 TRAIN_ROWS, PATTERNS = 10_000, 1000
@@ -256,3 +256,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     out = docs.select(key.alias(id_col), F.coalesce(held_out(key), F.lit(False)).alias("held_out"),
                       scores(docs.sparkSession, model, F.col(f"`{text_col}`")).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep_civil(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents whose predicted label is 0, with their columns."""
+    name = free_name(docs, "score")
+    marked = docs.withColumn(name, scores(docs.sparkSession, fit(docs, labels, id_col, text_col), F.col(f"`{text_col}`")))
+    return marked.filter(F.col(name) < 0.5).drop(name)
