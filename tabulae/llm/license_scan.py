@@ -22,7 +22,7 @@ from tabulae.llm.common import WORD_BYTES, blobs, built, ship, utf8
 from tabulae.llm.near_dup import mixed
 
 GRAM, WINDOW = 3, 4
-#: Half the width of the band, in words; diagonals closer than this belong to one candidate.
+#: Half the width of the band, in words (half a shorter template); diagonals closer than this are one candidate.
 BAND = 8
 COVERAGE = 0.8
 #: Bytes that all templates together may have: they are broadcast.
@@ -164,12 +164,13 @@ class Index:
         anchors.sort()
         plain, found, last = numbers.tolist(), {}, None
         for t, diagonal in anchors:
-            if last and last[0] == t and diagonal - last[1] <= BAND:
+            template = self.templates[t].tolist()
+            band = max(1, min(BAND, len(template) // 2))  # short notices may follow each other closely
+            if last and last[0] == t and diagonal - last[1] <= band:
                 continue  # in the band of the candidate before
             last = (t, diagonal)
-            template = self.templates[t].tolist()
             # the band reaches from this first diagonal over the others that belong to the candidate
-            n, start, end = align(template, plain, diagonal + BAND // 2, BAND)
+            n, start, end = align(template, plain, diagonal + band // 2, band)
             if n >= coverage * len(template):
                 key = (t, end)
                 if key not in found or found[key][0] < n:
