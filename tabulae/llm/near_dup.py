@@ -6,10 +6,13 @@ shingles of a batch of texts take the same step together, and a text stops as so
 largest value it holds is below the next step, which no later number could undercut.
 
 Texts with equal word sequences are one class with its smallest id as its node.  Classes whose
-signatures agree on a band share a bucket.  In every bucket all members are compared with the
-smallest one on their full shingle sets; then, where a bucket of three or more still spans
-several components, all remaining pairs across components.  Buckets have no cap, no link
-between members of a bucket is lost, and a large group of copies costs one pair per member.
+signatures agree on a band share a bucket.  The head of a bucket is its most central member:
+the one with the fewest shingles that no other class in any bucket has.  All members are
+compared with the head on their full shingle sets.  Where a bucket of three or more then still
+spans several components, the pairs across components follow, those first ruled out that
+cannot be similar enough: by the sizes, by the shingles that a text has alone, and by bitmaps
+of the sets, whose bits differ in no more places than the sets do.  These bounds are exact.
+Buckets have no cap, and a large group of copies costs about one pair per member.
 """
 from __future__ import annotations
 
@@ -28,6 +31,8 @@ from tabulae.llm.components import components
 WORDS, PERCENT = 5, 80
 #: A pair at a similarity of 0.8 shares no bucket with a probability of (1 - 0.8 ** ROWS) ** BANDS = 3e-6.
 BANDS, ROWS = 32, 5
+#: Bits of the bitmap that bounds the difference of two sets.
+BITS = 2048
 #: Shingles that one vectorised step takes together, and words whose hashes a worker keeps.
 STEP, CACHED_WORDS = 250_000, 400_000
 #: Rows without an id get one from here on, by their text.
@@ -120,6 +125,13 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def bitmap(found: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of shingles per cell, as signed 64-bit words: each shingle that only one of two sets
+    has turns one bit."""
+    parity = np.bincount((found >> np.uint64(17) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
 def _sign(words: int, bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
@@ -134,14 +146,30 @@ def _sign(words: int, bands: int, rows: int):
                 if total >= STEP or i + 1 == len(texts):
                     keys = band_keys(signatures(sets, bands * rows), bands, rows)
                     flat = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * bands, keys.reshape(-1))
+                    bits = np.concatenate([bitmap(x) for x in sets])
+                    bits = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * (BITS // 64), bits)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids[start:i + 1], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
-                         pa.array(digests, pa.binary()), flat], names=["id", "n", "digest", "bands"])
+                         pa.array(digests, pa.binary()), flat, bits], names=["id", "n", "digest", "bands", "bits"])
                     start, total, sets, digests = i + 1, 0, [], []
 
     return sign
 
 
+def _shingles(words: int):
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per distinct shingle of a text."""
+        shingler = Shingler(words)
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), blobs(batch.column(1))):
+                found = shingler.set_of(shingler.words(text)).view(np.int64)
+                for at in range(0, len(found), STEP):
+                    part = found[at:at + STEP]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), node)), pa.array(part)], names=["node", "shingle"])
+
+    return shingles
+
+
 def _similar(words: int, percent: int):
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The pairs (a, b) whose full sets are similar enough; a's set serves all rows in a row with the same a."""
@@ -171,29 +199,43 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     """Rows (id, n, component) of all rows of ``docs``, where an id may be one that ``row_id`` made."""
     ship(docs.sparkSession)
     texts = docs.select(row_id(id_col, text_col).alias("id"), utf8(text_col).alias("text"))
-    signed = written(texts.mapInArrow(_sign(words, bands, rows), "id long, n long, digest binary, bands array<long>"))
+    signed = written(texts.mapInArrow(_sign(words, bands, rows), "id long, n long, digest binary, bands array<long>, bits array<long>"))
     # equal texts: one class, its smallest id the node
     classes = written(signed.filter("n > 0").groupBy("digest").agg(F.min("id").alias("node")))
     nodes = signed.join(classes, "digest").filter("id = node")
     bucketed = nodes.select("node", "n", F.explode("bands").alias("key"))
-    heads = (bucketed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size"))
-             .filter("size > 1"))
-    members = written(bucketed.join(heads, "key").select("key", "node", "n", "size", F.col("head.node").alias("head"),
-                                                         F.col("head.n").alias("head_n")))
-    fits = F.greatest("n", "head_n") * percent <= F.least("n", "head_n") * 100
-    pairs = members.filter("node != head").filter(fits).select(F.col("head").alias("a"), F.col("node").alias("b"))
-    links = _links(pairs, texts, words, percent)
+    shared = bucketed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    members = written(bucketed.join(shared, "key"))
+    # shingles that no other member of any bucket has
+    among = members.select("node").distinct()
+    single = (texts.join(among, texts["id"] == among["node"], "left_semi").mapInArrow(_shingles(words), "node long, shingle long")
+              .groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("times")).filter("times = 1")
+              .groupBy("node").agg(F.count("*").alias("alone")))
+    plain, members = members, written(members.join(single, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0))))
+    discard(plain)
+    heads = members.groupBy("key").agg(F.min(F.struct("alone", "node", "n")).alias("head"))
+    a, b = members.alias("a"), heads.alias("b")
+    pairs = a.join(b, "key").filter("a.node != b.head.node").filter(
+        _possible(F.col("a.n"), F.col("a.alone"), F.col("b.head.n"), F.col("b.head.alone"), percent))
+    links = _links(pairs.select(F.col("b.head.node").alias("a"), F.col("a.node").alias("b")), texts, words, percent)
     found = components(links)
-    # the rest: buckets that still span several components
+    # the rest: buckets that still span several components; all but the largest component against all
     label = found.withColumnRenamed("component", "label")
-    there = (members.filter("size > 2 AND node != head").join(label, "node", "left")
-             .select("key", "node", "n", F.coalesce("label", "node").alias("label")))
-    open_keys = there.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
-    there = written(there.join(open_keys.select("key"), "key"))
-    left, right = there, there.select("key", F.col("node").alias("b"), F.col("n").alias("head_n"), F.col("label").alias("other"))
-    rest = (left.join(right, "key").filter("node < b AND label != other").filter(fits)
-            .select(F.col("node").alias("a"), "b"))
-    more = _links(rest, texts, words, percent)
+    there = (members.filter("size > 2").filter((F.col("n") - F.col("alone")) * 100 >= F.col("n") * percent)
+             .join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    main = (there.groupBy("key", "label").agg(F.count("*").alias("rows")).groupBy("key")
+            .agg(F.max(F.struct("rows", "label")).alias("most"), F.count("*").alias("labels")).filter("labels > 1"))
+    open_ = (there.join(main, "key").join(heads, "key").filter("node != head.node")
+             .select("key", "node", "n", "alone", "label", F.col("most.label").alias("main")))
+    open_ = written(open_.join(nodes.select("node", "bits"), "node"))
+    a, b = open_.filter("label != main").alias("a"), open_.alias("b")
+    rest = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.label") != F.col("b.label"))
+                  & ((F.col("b.label") == F.col("b.main")) | (F.col("a.node") < F.col("b.node")))
+                  & _possible(F.col("a.n"), F.col("a.alone"), F.col("b.n"), F.col("b.alone"), percent)
+                  & (_differences(F.col("a.bits"), F.col("b.bits")) * (100 + percent)
+                     <= (F.col("a.n") + F.col("b.n")) * (100 - percent)))
+    more = _links(rest.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")),
+                  texts, words, percent)
     if not more.isEmpty():
         found = components(links.union(more))
     of = classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
@@ -232,6 +274,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     return here.withColumn(digest, text).dropDuplicates([name, digest]).drop(name, digest)
 
 
+def _possible(n: Column, alone: Column, m: Column, lone: Column, percent: int) -> Column:
+    """Whether sets of these sizes, with so many shingles that the other set can't have, may be similar enough."""
+    both = F.least(n - alone, m - lone)
+    return 100 * both >= percent * (n + m - both)
+
+
+def _differences(a: Column, b: Column) -> Column:
+    """Bits that differ: at most the number of shingles that only one of the two sets has."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
 def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that hold on the full texts, as a written table."""
     pairs = written(pairs.distinct())
