@@ -7,12 +7,13 @@ listings go through the session's Hadoop FileSystem, not the local disk.
 from __future__ import annotations
 
 from typing import Callable, Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulae.operators.harmonise import add_provenance, harmonise, select_required
+from tabulae.operators.harmonise import add_provenance, harmonise, select_required, stack_by_name
 
 
 def _fs(spark: SparkSession, path: str):
@@ -68,27 +69,23 @@ def load_delivery(spark: SparkSession, path: str, period: str, required: Sequenc
 
 def typed_table(spark: SparkSession, target: str, periods: Sequence[str],
                 build: Callable[[str], DataFrame], partition: str = "period", reuse: bool = True) -> DataFrame:
-    """Convert-once typed store (S6): only periods whose partition is absent are converted.
+    """Convert-once typed store (S6): one committed table per period below ``target``.
 
-    All missing periods are converted by one write job (their frames stacked by
-    name) into the period-partitioned table with dynamic partition overwrite, so
-    existing periods are never rewritten; readers then prune partitions by period.
+    A period is reused only if its table has the ``_SUCCESS`` marker of a finished write, so a
+    folder that a lost job left half-written is converted again.  The tables are stacked by
+    name and must have the same columns; a delivery without one of them is an error, not NULLs.
+    The period label comes from the list, never from a folder name.
     """
-    missing = [p for p in periods
-               if not (reuse and exists(spark, f"{target.rstrip('/')}/{partition}={p}"))]
-    frames = []
-    for period in missing:
-        df = build(period)
-        if partition in df.columns:
-            df = df.drop(partition)
-        frames.append(df.withColumn(partition, F.lit(period)))
-    if frames:
-        stacked = frames[0]
-        for f in frames[1:]:
-            stacked = stacked.unionByName(f, allowMissingColumns=True)
-        (stacked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy(partition).parquet(target))
-    return spark.read.parquet(target).filter(F.col(partition).isin(list(periods)))
+    tables = []
+    for period in periods:
+        path = f"{target.rstrip('/')}/{partition}={quote(period, safe='')}"
+        if not (reuse and exists(spark, f"{path}/_SUCCESS")):
+            df = build(period)
+            df.drop(partition).write.mode("overwrite").parquet(path)
+        tables.append(spark.read.parquet(path).withColumn(partition, F.lit(period)))
+    if not tables:
+        raise ValueError("no periods given")
+    return stack_by_name(tables)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:

@@ -35,7 +35,8 @@ def stream_deliveries(spark: SparkSession, source_dir: str, columns: Sequence[st
     """
     reader = spark.readStream.schema(text_schema([normalise_name(c) for c in columns]))
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        # a stream reads by position: a file whose header differs stops it instead of mixing columns up
+        reader = reader.option("header", "true").option("enforceSchema", "false")
     raw = reader.format(fmt).load(source_dir).select("*", F.col("_metadata.file_name").alias("source"))
     name = F.col("source")
     if isinstance(period_of_file, Mapping):

@@ -135,3 +135,33 @@ def test_bucketed_tables_join_without_shuffle(spark, scratch):
         assert "Exchange" not in plan and j.count() == li.select("l_orderkey").distinct().count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_typed_table_converts_a_half_written_period_again(spark, scratch):
+    target = os.path.join(scratch, "typed")
+    os.makedirs(os.path.join(target, "period=p1"))  # what a lost job leaves: a folder without its commit marker
+    t = typed_table(spark, target, ["p1", "2024"], lambda p: spark.createDataFrame([(p, 1)], "who string, n int"))
+    assert sorted((r.who, r.period) for r in t.collect()) == [("2024", "2024"), ("p1", "p1")]
+    assert dict(t.dtypes)["period"] == "string"
+
+
+def test_typed_table_refuses_a_missing_column(spark, scratch):
+    frames = {"a": spark.createDataFrame([(1, 2)], "x int, y int"), "b": spark.createDataFrame([(3,)], "x int")}
+    with pytest.raises(Exception):
+        typed_table(spark, os.path.join(scratch, "typed"), ["a", "b"], frames.__getitem__).collect()
+
+
+def test_stream_stops_at_a_file_with_moved_columns(spark, scratch):
+    src = os.path.join(scratch, "incoming")
+    os.makedirs(src)
+    _csv(f"{src}/p1.csv", list(reversed(REQUIRED)), [["100", "20", "1", "1", "1"]])
+    q = stream_deliveries(spark, src, REQUIRED, os.path.join(scratch, "out"), os.path.join(scratch, "ck"), {"p1.csv": "P1"})
+    with pytest.raises(Exception):
+        q.awaitTermination(120)
+
+
+def test_guard_names_offenders_and_their_number(spark):
+    from tabulae.operators.sets import guard_periods
+    df = spark.range(100).selectExpr("CONCAT('p', id) AS period")
+    with pytest.raises(ValueError, match="found also 97.*and 77 more"):
+        guard_periods(df, "period", ["p1", "p2", "p3"])
