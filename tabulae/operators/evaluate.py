@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulae.functions import band_label, code_order, label_of
-from tabulae.operators.quantiles import DISTRIBUTED, EXACT, quantile_expr, quantile_table, with_quantiles
+from tabulae.operators.quantiles import EXACT, grouped_quantiles, quantile_table
 
 
 def _ok(label: str, prediction: str) -> Column:
@@ -115,14 +115,9 @@ def subset_summary(pred: DataFrame, column: str, codes: Sequence[str], predictio
     percentiles of the prediction (F6)."""
     sub = pred.filter(F.col(column).isin(list(codes)))
     exprs, rows = [F.count(F.lit(1)).alias("n")], []
-    for i, (name, col) in enumerate(predictions.items()):
-        exprs.append(F.avg(col).alias(f"m{i}"))
-        if method != DISTRIBUTED:
-            exprs.append(quantile_expr(col, list(ps), False, method, accuracy).alias(f"q{i}"))
-    one = sub.agg(*exprs)
-    if method == DISTRIBUTED:
-        for i, col in enumerate(predictions.values()):
-            one = with_quantiles(one, sub, col, list(ps), (), False, method, accuracy, f"q{i}")
+    exprs += [F.avg(col).alias(f"m{i}") for i, col in enumerate(predictions.values())]
+    one = grouped_quantiles(sub, [], exprs, {f"q{i}": col for i, col in enumerate(predictions.values())}, list(ps), False,
+                            method, accuracy)
     for i, name in enumerate(predictions):
         rows.append(F.struct(F.lit(name).alias("model"), F.col("n").alias("n"), F.col(f"m{i}").alias("pred_mean"),
                              *[F.col(f"q{i}")[k].cast("double").alias(f"p{round(100 * p)}") for k, p in enumerate(ps)]))
@@ -156,11 +151,9 @@ def collect_cuts(cuts: DataFrame) -> list[float]:
 
 
 def _band(col: Column, cuts: Sequence[float]) -> Column:
-    """Index of the ``(a, b]`` band: first cut >= value; above the last cut -> len(cuts). NULL -> NULL."""
-    expr = F.lit(len(cuts))
-    for i in range(len(cuts) - 1, -1, -1):
-        expr = F.when(col <= F.lit(float(cuts[i])), F.lit(i)).otherwise(expr)
-    return F.when(col.isNotNull() & ~F.isnan(col), expr)
+    """Index of the ``(a, b]`` band: the number of cuts below the value; NULL and NaN have none."""
+    passed = sum((F.when(col > F.lit(float(c)), 1).otherwise(0) for c in cuts), F.lit(0))
+    return F.when(col.isNotNull() & ~F.isnan(col), passed)
 
 
 def error_by_band(pred: DataFrame, label: str, prediction: str, cuts: Sequence[float]) -> DataFrame:
@@ -239,15 +232,11 @@ def prediction_range(pred: DataFrame, columns: Mapping[str, str], method: str =
     for i, (name, col) in enumerate(columns.items()):
         exprs += [F.min(col).cast("double").alias(f"mn{i}"), F.max(col).cast("double").alias(f"mx{i}"),
                   F.sum((F.col(col) < 0).cast("long")).alias(f"neg{i}")]
-        if method != DISTRIBUTED:
-            exprs.append(quantile_expr(col, [0.01, 0.99], False, method, accuracy).alias(f"q{i}"))
         rows.append(F.struct(F.lit(name).alias("series"), F.col(f"mn{i}").alias("min"),
                              F.col(f"q{i}")[0].cast("double").alias("p1"), F.col(f"q{i}")[1].cast("double").alias("p99"),
                              F.col(f"mx{i}").alias("max"), F.coalesce(F.col(f"neg{i}"), F.lit(0)).alias("negatives")))
-    one = pred.agg(*exprs)
-    if method == DISTRIBUTED:
-        for i, col in enumerate(columns.values()):
-            one = with_quantiles(one, pred, col, [0.01, 0.99], (), False, method, accuracy, f"q{i}")
+    one = grouped_quantiles(pred, [], exprs, {f"q{i}": col for i, col in enumerate(columns.values())}, [0.01, 0.99], False,
+                            method, accuracy)
     return one.select(F.inline(F.array(*rows)))
 
 
@@ -263,8 +252,6 @@ def error_summary(pred: DataFrame, label: str, predictions: Mapping[str, str], h
     exprs, rows = [], []
     for i, (name, col) in enumerate(predictions.items()):
         e = y - F.col(col)
-        if method != DISTRIBUTED:
-            exprs.append(quantile_expr(f"_ae{i}", [0.5], False, method, accuracy).alias(f"med{i}"))
         exprs += [F.avg((F.abs(e) <= tolerance * y).cast("double")).alias(f"in{i}"),
                   F.avg((e > 0).cast("double")).alias(f"un{i}"),
                   F.avg(F.when(y > high, (e > 0).cast("double"))).alias(f"uh{i}"),
@@ -275,8 +262,6 @@ def error_summary(pred: DataFrame, label: str, predictions: Mapping[str, str], h
                              (100.0 * F.col(f"uh{i}")).alias("pct_under_high"),
                              F.try_divide(100.0 * F.coalesce(F.col(f"sst{i}"), F.lit(0.0)), F.col(f"sse{i}")).alias("pct_sq_error_tail")))
     base = pred.select("*", *[F.abs(y - F.col(c)).alias(f"_ae{i}") for i, c in enumerate(predictions.values())])
-    one = base.agg(*exprs)
-    if method == DISTRIBUTED:
-        for i in range(len(predictions)):
-            one = with_quantiles(one, base, f"_ae{i}", [0.5], (), False, method, accuracy, f"med{i}")
+    one = grouped_quantiles(base, [], exprs, {f"med{i}": f"_ae{i}" for i in range(len(predictions))}, [0.5], False,
+                            method, accuracy)
     return one.select(F.inline(F.array(*rows)))

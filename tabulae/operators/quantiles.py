@@ -1,154 +1,142 @@
-"""Exact quantiles without holding a group in one task.
-
-Spark's exact ``percentile`` / ``percentile_disc`` keep a value -> count map of
-every distinct value of a group and merge it in a single task: with a hot group
-(a third of 100 TB) that map does not fit.  ``exact_quantiles`` gives the same
-values with bounded per-task work:
-
-1. one pass: per group ``n`` and a mergeable quantile sketch
-   (``percentile_approx``, relative rank error ``1/accuracy``) evaluated just
-   below and just above each requested probability -> a value bracket
-   ``[lo, hi]`` that provably contains the target ranks;
-2. one more pass: every row is placed against the brackets and one
-   aggregate keyed by (group, placement, value-if-inside-a-bracket) yields
-   both the rows below / inside each bracket and the distinct candidate
-   values (about ``10 n / accuracy`` rows) with their counts;
-3. the candidates are range-partitioned on (group, j, value); each slice is
-   ranked locally and offset by the sizes of the slices before it, so even a
-   hot group's candidates are spread over many tasks; the value(s) holding the
-   target rank(s) are picked.
-
-Should a bracket miss its rank (it cannot under the sketch's guarantee), that
-probability falls back to the whole group, so the answer is exact either way.
-Measured with Spark's event log, the source is scanned three times in all
-(against one for the built-in), whatever the number of probabilities.
-Definitions: element quantile = the value at 1-based rank ``max(1, ceil(p * n))``
-with the product taken in exact decimal arithmetic on p as written (Spark's
-double product can drift above an integer rank; ``disc_probability`` corrects the
-built-in the same way); interpolated quantile at position ``p * (n - 1)``
-combined as ``(hi - pos) * v_lo + (pos - lo) * v_hi``, as Spark does.
+"""Exact quantiles without holding a group in one task, and approximate ones.
+
+Spark's exact ``percentile`` keeps a value -> count map of a group's distinct values and merges
+it in one task, which a hot group or a continuous measure of a large table does not survive.
+``exact_quantiles`` gives the same values with bounded work per task, for several columns and
+probabilities in one run:
+
+1. one pass: per group and column the count and a quantile sketch, evaluated on a small grid
+   around each requested probability.  The ends of the grid bracket the target rank, its inner
+   points cut the bracket into slices;
+2. one pass: rows are placed against the grid.  One aggregate by (group, placement, slice, value
+   if inside a bracket) has the rows below each bracket and the candidates with their counts;
+3. candidates are ranked inside their slice and moved on by the counts of the slices before.
+
+The tables of steps 1 and 2 are written to the session's shared folder: every later use sees
+one and the same grid, so a slice is a function of the value, and nothing depends on whether
+Spark reuses an exchange.  A bracket that misses its rank (it doesn't under the sketch's
+guarantee) takes its whole group instead.  Element quantile: the value at 1-based rank
+``max(1, ceil(p * n))`` with the product in exact decimals; interpolated: position
+``p * (n - 1)`` between its two neighbours.
 """
 from __future__ import annotations
 
-from typing import Sequence
+from decimal import Decimal
+from functools import reduce
+from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabulae.sources.shared import written
+
+EXACT, DISTRIBUTED, APPROX = "exact", "distributed", "approx"  # the first two are one method
+METHODS = (EXACT, DISTRIBUTED, APPROX)
+ACCURACY = 10000
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys``, where a NULL key equals a NULL key; the left side's keys stay."""
+    other = right.select(*[F.col(f"`{k}`").alias(f"_r{i}") if k in keys else F.col(f"`{k}`")
+                           for i, k in enumerate([*keys, *[c for c in right.columns if c not in keys]])])
+    on = reduce(Column.__and__, [left[f"`{k}`"].eqNullSafe(other[f"_r{i}"]) for i, k in enumerate(keys)])
+    out = left.join(other, on, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r{i}" for i in range(len(keys))])
+
 
 def exact_quantiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequence[str] = (),
-                    interpolate: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Exact quantiles of ``value`` per group: ``(*by, j, p, value)``, one row per probability."""
+                    interpolate: bool = False, accuracy: int = ACCURACY) -> DataFrame:
+    """Exact quantiles of one column: ``(*by, j, p, value)``, one row per group and probability."""
     ps = [float(p) for p in ps]
-    keys = list(by)
-    J = len(ps)
+    p = F.element_at(F.array(*[F.lit(x) for x in ps]), F.col("_j") + 1)
+    return _found(df, [value], ps, by, interpolate, accuracy).select(
+        *by, F.col("_j").cast("int").alias("j"), p.alias("p"), F.col("_q").alias("value"))
+
+
+def exact_arrays(df: DataFrame, values: Mapping[str, str], ps: Sequence[float], by: Sequence[str] = (),
+                 interpolate: bool = False, accuracy: int = ACCURACY) -> DataFrame:
+    """One row per group: ``by`` and, for each entry (name -> column) of ``values``, the array of the column's quantiles
+    in the order of ``ps``; NULL if the group has no value.  Ungrouped: one row."""
+    found = _found(df, list(values.values()), [float(p) for p in ps], by, interpolate, accuracy)
+
+    def array_of(i: int) -> Column:
+        # all probabilities of a group arrive together: a few values per column
+        rows = F.array_sort(F.collect_list(F.when(F.col("_pos") == i, F.struct("_j", "_q"))))
+        return F.when(F.size(rows) > 0, F.transform(rows, lambda r: r["_q"]))
+
+    grouped = found.groupBy(*by) if by else found
+    return grouped.agg(*[array_of(i).alias(name) for i, name in enumerate(values)])
+
+
+def _found(df: DataFrame, columns: Sequence[str], ps: list[float], by: Sequence[str], interpolate: bool,
+           accuracy: int) -> DataFrame:
+    """Rows (*by, _pos, _j, _q): the quantile ``ps[_j]`` of column number ``_pos``."""
+    n_ps = len(ps)
+    steps = 8 if n_ps <= 12 else 2  # slices of a bracket
+    keys = [*by, "_pos"]
+    stream = df.select(*by, F.inline(F.array(*[F.struct(F.lit(i).alias("_pos"), F.col(f"`{c}`").cast("double").alias("_v"))
+                                               for i, c in enumerate(columns)]))).filter("_v IS NOT NULL")
     margin = 5.0 / accuracy
-    probes = []
-    for p in ps:
-        probes += [max(0.0, p - margin), min(1.0, p + margin)]
+    grid = [min(1.0, max(0.0, p + margin * (2.0 * k / steps - 1.0))) for p in ps for k in range(steps + 1)]
+    stats = written(stream.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                              F.percentile_approx("_v", grid, accuracy).alias("_grid")))
+
+    # rows below, inside and above the brackets; the candidates with their slices
+    def ends(at: int) -> Column:
+        return F.array_sort(F.array(*[F.col("_grid")[j * (steps + 1) + at] for j in range(n_ps)]))
+
     v = F.col("_v")
-    base = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(v.isNotNull())
-    if not keys:
-        # ungrouped: one constant key, so the per-group tables below have exactly one row and
-        # every join with them is a broadcast of that single row
-        base = base.withColumn("_k", F.lit(1))
-        keys_j = ["_k"]
-    else:
-        keys_j = keys
-
-    # pass 1: size and sketch brackets per group
-    stats = base.groupBy(*keys_j).agg(F.count(F.lit(1)).alias("_n"),
-                                      F.percentile_approx("_v", probes, accuracy).alias("_b"))
-    n = F.col("_n").cast("double")
-    ranks = []
-    for j, p in enumerate(ps):
-        if interpolate:
-            pos = F.lit(p) * (n - 1)
-            k1, k2 = F.floor(pos) + 1, F.ceil(pos) + 1
-        else:
-            # rank ceil(p * n) in exact decimal arithmetic on p as written (no double drift)
-            exact = F.lit(repr(p)).cast("decimal(38,18)") * F.col("_n").cast("decimal(38,0)")
-            k1 = F.greatest(F.lit(1), F.ceil(exact))
-            k2 = k1
-        ranks += [k1.cast("long").alias(f"_a{j}"), k2.cast("long").alias(f"_z{j}")]
-    stats = stats.select(*keys_j, "_n", "_b", *ranks)
-
-    # brackets as sorted arrays (the sketch is monotone in p; sorting only guards it)
-    stats = stats.select(*keys_j, "_n", *[f"_a{j}" for j in range(J)], *[f"_z{j}" for j in range(J)],
-                         F.array_sort(F.array(*[F.col("_b")[2 * j] for j in range(J)])).alias("_lo"),
-                         F.array_sort(F.array(*[F.col("_b")[2 * j + 1] for j in range(J)])).alias("_hi"))
-
-    # pass 2 (the last pass over the data): per row a = #(lo_j <= v), b = #(hi_j < v); the row
-    # lies in brackets b .. a-1.  One aggregate keyed by (group, a, b, value if inside some
-    # bracket) yields both the bracket histogram (at most ~J^2 cells per group) and the
-    # distinct candidate values with their counts; its shuffle is shared by both uses.
-    a = F.size(F.filter("_lo", lambda x: x <= v))
-    b = F.size(F.filter("_hi", lambda x: x < v))
-    placed = base.join(stats.select(*keys_j, "_lo", "_hi"), keys_j).select(*keys_j, "_v", a.alias("_ia"), b.alias("_ib"))
-    pre = (placed.select(*keys_j, "_ia", "_ib", F.when(F.col("_ib") < F.col("_ia"), v).alias("_cv"))
-                 .groupBy(*keys_j, "_ia", "_ib", "_cv").agg(F.count(F.lit(1)).alias("_c")))
-    hist = pre.groupBy(*keys_j, "_ia", "_ib").agg(F.sum("_c").alias("_c"))
-    per_j = (hist.select(*keys_j, "_ia", "_ib", "_c", F.explode(F.sequence(F.lit(0), F.lit(J - 1))).alias("_j"))
-                 .groupBy(*keys_j, "_j")
-                 .agg(F.sum(F.when(F.col("_ia") <= F.col("_j"), F.col("_c")).otherwise(0)).alias("_cb"),
-                      F.sum(F.when((F.col("_ib") <= F.col("_j")) & (F.col("_j") < F.col("_ia")), F.col("_c"))
-                             .otherwise(0)).alias("_m")))
-    k1s = F.array(*[F.col(f"_a{j}") for j in range(J)])
-    k2s = F.array(*[F.col(f"_z{j}") for j in range(J)])
-    meta = (stats.select(*keys_j, "_n", k1s.alias("_k1s"), k2s.alias("_k2s"),
-                         F.posexplode(F.sequence(F.lit(0), F.lit(J - 1))).alias("_p", "_j"))
-                 .select(*keys_j, "_n", "_j", F.element_at("_k1s", F.col("_j") + 1).alias("_k1"),
-                         F.element_at("_k2s", F.col("_j") + 1).alias("_k2"))
-                 .join(per_j, keys_j + ["_j"], "left"))
-    ok = (F.coalesce(F.col("_cb"), F.lit(0)) < F.col("_k1")) & \
-         (F.col("_k2") <= F.coalesce(F.col("_cb"), F.lit(0)) + F.coalesce(F.col("_m"), F.lit(0)))
-    meta = meta.select(*keys_j, "_n", "_j", "_k1", "_k2", ok.alias("_ok"),
-                       F.when(ok, F.coalesce(F.col("_cb"), F.lit(0))).otherwise(F.lit(0)).alias("_base"))
-
-    # candidates = the distinct in-bracket values, exploded over their brackets b .. a-1 only;
-    # a bracket that missed its ranks (never under the sketch guarantee) takes its whole
-    # group instead, at the price of one more pass that normally has nothing to do
-    inside = pre.filter(F.col("_cv").isNotNull()).select(
-        *keys_j, F.col("_cv").alias("_v"), "_c", F.explode(F.sequence(F.col("_ib"), F.col("_ia") - 1)).alias("_j"))
-    failed = meta.filter(~F.col("_ok")).select(*keys_j, "_j")
-    inside = inside.join(failed, keys_j + ["_j"], "left_anti")
-    whole = base.join(failed, keys_j).select(*keys_j, "_v", F.lit(1).cast("long").alias("_c"), "_j")
-    cand = inside.unionByName(whole).groupBy(*keys_j, "_j", "_v").agg(F.sum("_c").alias("_c"))
-    # running counts without one task per (group, j): range-partition the candidates on
-    # (group, j, value); each slice is ranked locally and offset by the counts of the slices
-    # before it (a table of at most partitions x brackets rows)
-    slices = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    parts = max(1, int(slices)) if slices and slices.isdigit() else 200
-    ordered = cand.repartitionByRange(parts, *keys_j, "_j", "_v").withColumn("_pid", F.spark_partition_id())
-    sizes = ordered.groupBy("_pid", *keys_j, "_j").agg(F.sum("_c").alias("_sc"))
-    before = F.sum("_sc").over(Window.partitionBy(*keys_j, "_j").orderBy("_pid")
-                               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("_pid", *keys_j, "_j", F.coalesce(before, F.lit(0)).alias("_off"))
-    local = Window.partitionBy("_pid", *keys_j, "_j").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (ordered.withColumn("_lcum", F.sum("_c").over(local))
-                     .join(offsets, ["_pid", *keys_j, "_j"])
-                     .withColumn("_cum", F.col("_off") + F.col("_lcum")))
-    r = ranked.join(meta, keys_j + ["_j"])
-    first = F.col("_base") + F.col("_cum") - F.col("_c") + 1
-    last = F.col("_base") + F.col("_cum")
-    picks = (r.groupBy(*keys_j, "_j").agg(
-        F.max(F.when((first <= F.col("_k1")) & (F.col("_k1") <= last), v)).alias("_v1"),
-        F.max(F.when((first <= F.col("_k2")) & (F.col("_k2") <= last), v)).alias("_v2"),
-        F.first("_n").alias("_n")))
-    pcol = F.element_at(F.array(*[F.lit(p) for p in ps]), F.col("_j") + 1)
+    placed = _same(stream, stats.select(*keys, F.array_sort("_grid").alias("_grid"), ends(0).alias("_lo"), ends(steps).alias("_hi")), keys)
+    placed = placed.select(*keys, "_v", "_grid", F.size(F.filter("_lo", lambda x: x <= v)).alias("_from_below"),
+                           F.size(F.filter("_hi", lambda x: x < v)).alias("_past"))
+    inside = F.col("_past") < F.col("_from_below")
+    cells = written(placed.groupBy(*keys, "_from_below", "_past", F.when(inside, F.size(F.filter("_grid", lambda x: x < v))).alias("_slice"),
+                                   F.when(inside, v).alias("_cv")).agg(F.count(F.lit(1)).alias("_c")))
+
+    # per probability: target ranks, and the rows below and inside its bracket
+    each = F.explode(F.sequence(F.lit(0), F.lit(n_ps - 1))).alias("_j")
+    n, p = F.col("_n"), F.element_at(F.array(*[F.lit(x) for x in ps]), F.col("_j") + 1)
     if interpolate:
-        pos = pcol * (F.col("_n").cast("double") - 1)
-        lo_pos, hi_pos = F.floor(pos), F.ceil(pos)
-        val = (F.when((lo_pos == hi_pos) | (F.col("_v1") == F.col("_v2")), F.col("_v1"))
-                .otherwise((hi_pos - pos) * F.col("_v1") + (pos - lo_pos) * F.col("_v2")))
+        first, last = F.floor(p * (n - 1)) + 1, F.ceil(p * (n - 1)) + 1
     else:
-        val = F.col("_v1")
-    out = picks.select(*keys, F.col("_j").cast("int").alias("j"), pcol.alias("p"), val.alias("value"))
-    return out
-
-
-EXACT, DISTRIBUTED, APPROX = "exact", "distributed", "approx"
-METHODS = (EXACT, DISTRIBUTED, APPROX)
+        written_p = F.element_at(F.array(*[F.lit(f"{Decimal(repr(x)):.17f}").cast("decimal(18,17)") for x in ps]), F.col("_j") + 1)
+        first = last = F.greatest(F.lit(1), F.ceil(written_p * n.cast("decimal(19,0)")))
+    below = (cells.groupBy(*keys, "_from_below", "_past").agg(F.sum("_c").alias("_c")).select("*", each).groupBy(*keys, "_j")
+             .agg(F.sum(F.when(F.col("_from_below") <= F.col("_j"), F.col("_c")).otherwise(0)).alias("_below"),
+                  F.sum(F.when((F.col("_past") <= F.col("_j")) & (F.col("_j") < F.col("_from_below")), F.col("_c")).otherwise(0)).alias("_in")))
+    target = _same(stats.select(*keys, "_n", each).select("*", first.cast("long").alias("_k1"), last.cast("long").alias("_k2")),
+                   below, [*keys, "_j"])
+    target = target.withColumn("_ok", (F.col("_below") < F.col("_k1")) & (F.col("_k2") <= F.col("_below") + F.col("_in")))
+    candidates = cells.filter("_cv IS NOT NULL").select(
+        *keys, F.col("_cv").alias("_v"), "_slice", "_c", F.explode(F.sequence(F.col("_past"), F.col("_from_below") - 1)).alias("_j"))
+    missed = target.filter(~F.col("_ok"))
+    if not missed.isEmpty():
+        whole = _same(stream, stats.select(*keys), keys).select("*", each)
+        whole = _same(whole, missed.select(*keys, "_j"), [*keys, "_j"], "left_semi").groupBy(*keys, "_j", "_v").agg(F.count(F.lit(1)).alias("_c"))
+        candidates = _same(candidates, missed.select(*keys, "_j"), [*keys, "_j"], "left_anti").unionByName(
+            whole.withColumn("_slice", F.lit(0)))
+        target = target.withColumn("_below", F.when(F.col("_ok"), F.col("_below")).otherwise(F.lit(0)))
+
+    # ranks: inside the slice, after the slices before it
+    sizes = candidates.groupBy(*keys, "_j", "_slice").agg(F.sum("_c").alias("_size"))
+    earlier = Window.partitionBy(*keys, "_j").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_j", "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
+    local = Window.partitionBy(*keys, "_j", "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = _same(candidates.withColumn("_upto", F.sum("_c").over(local)), offsets, [*keys, "_j", "_slice"])
+    ranked = _same(ranked, target, [*keys, "_j"])
+    end = F.col("_below") + F.col("_offset") + F.col("_upto")
+
+    def at(rank: str) -> Column:
+        return F.max(F.when((F.col(rank) <= end) & (F.col(rank) > end - F.col("_c")), v))
+
+    picked = ranked.groupBy(*keys, "_j").agg(at("_k1").alias("_v1"), at("_k2").alias("_v2"), F.max("_n").alias("_n"))
+    value = F.col("_v1")
+    if interpolate:
+        place = p * (n - 1)
+        value = F.when(F.col("_v1") == F.col("_v2"), value).otherwise(
+            (F.ceil(place) - place) * F.col("_v1") + (place - F.floor(place)) * F.col("_v2"))
+        value = F.when(F.ceil(place) == F.floor(place), F.col("_v1")).otherwise(value)
+    return picked.select(*keys, "_j", value.alias("_q"))
 
 
 def _check(method: str) -> None:
@@ -156,56 +144,29 @@ def _check(method: str) -> None:
         raise ValueError(f"method must be one of {METHODS}")
 
 
-def disc_probability(p: float) -> float:
-    """Probability handed to Spark's element quantile so that its double product ``p * n``
-    cannot drift above an exact integer rank (0.28 * 25 = 7.000000000000001 -> rank 8).
+def grouped_quantiles(df: DataFrame, by: Sequence[str], aggs: Sequence[Column], values: Mapping[str, str], ps: Sequence[float],
+                      interpolate: bool, method: str = EXACT, accuracy: int = ACCURACY) -> DataFrame:
+    """One row per group: ``by``, the aggregates ``aggs`` and one array of quantiles per entry of ``values`` (name -> column).
 
-    Lowering p by a relative 1e-15 removes that drift and moves no other rank: a
-    non-integer ``p * n`` for a p with up to 6 decimals is at least 1e-6 away from an
-    integer, far more than the shift for any n below 1e9.
+    ``approx`` takes everything from one aggregate; ``exact`` joins the arrays of ``exact_arrays``.
     """
-    return p * (1.0 - 1e-15) if 0.0 < p < 1.0 else p
-
-
-def quantile_expr(c: str, ps, interpolate: bool, method: str = EXACT, accuracy: int = 10000):
-    """Aggregate expression for the in-pass methods: exact built-in or approximate sketch."""
     _check(method)
-    if method == DISTRIBUTED:
-        raise ValueError("the distributed method is a separate plan; use quantile_table")
-    many = isinstance(ps, (list, tuple))
     if method == APPROX:
-        return F.percentile_approx(F.col(c), list(ps) if many else ps, accuracy)
-    if interpolate:
-        return F.percentile(F.col(c), list(ps) if many else ps)
-    if many:
-        arr = ", ".join(repr(disc_probability(float(p))) for p in ps)
-        return F.expr(f"percentile_disc(array({arr})) WITHIN GROUP (ORDER BY `{c}`)")
-    return F.expr(f"percentile_disc({disc_probability(float(ps))!r}) WITHIN GROUP (ORDER BY `{c}`)")
+        aggs = [*aggs, *[F.percentile_approx(F.col(f"`{c}`"), [float(p) for p in ps], accuracy).alias(name) for name, c in values.items()]]
+    found = exact_arrays(df, values, ps, by, interpolate, accuracy) if method != APPROX else None
+    if not aggs:
+        return found
+    base = (df.groupBy(*by) if by else df).agg(*aggs)
+    if found is None:
+        return base
+    if by:
+        return _same(base, found, list(by), "left")
+    for name in values:  # one row on each side
+        base = base.withColumn(name, found.select(name).scalar())
+    return base
 
 
-def quantile_table(df: DataFrame, value: str, ps: Sequence[float], by: Sequence[str] = (),
-                   interpolate: bool = False, method: str = EXACT, accuracy: int = 10000,
-                   name: str = "_q") -> DataFrame:
-    """One row per group: ``(*by, name)`` with the quantiles as an array in ``ps`` order."""
-    _check(method)
-    keys = list(by)
-    if method != DISTRIBUTED:
-        g = df.groupBy(*keys) if keys else df
-        return g.agg(quantile_expr(value, list(ps), interpolate, method, accuracy).alias(name))
-    t = exact_quantiles(df, value, ps, keys, interpolate, accuracy)
-    vals = F.transform(F.array_sort(F.collect_list(F.struct("j", "value"))), lambda s: s["value"])
-    g = t.groupBy(*keys) if keys else t
-    return g.agg(vals.alias(name))
-
-
-def with_quantiles(agg: DataFrame, df: DataFrame, value: str, ps: Sequence[float], by: Sequence[str] = (),
-                   interpolate: bool = False, method: str = EXACT, accuracy: int = 10000,
-                   name: str = "_q") -> DataFrame:
-    """Attach a quantile array column to a per-group aggregate ``agg`` (keyed by ``by``).
-
-    Both sides hold one row per group; ungrouped, the array arrives as a scalar subquery.
-    """
-    q = quantile_table(df, value, ps, by, interpolate, method, accuracy, name)
-    if by:
-        return agg.join(q, list(by), "left")
-    return agg.withColumn(name, q.select(name).scalar())
+def quantile_table(df: DataFrame, value: str, ps: Sequence[float], by: Sequence[str] = (), interpolate: bool = False,
+                   method: str = EXACT, accuracy: int = ACCURACY, name: str = "_q") -> DataFrame:
+    """One row per group: ``(*by, name)`` with the quantiles of one column as an array in ``ps`` order."""
+    return grouped_quantiles(df, by, [], {name: value}, ps, interpolate, method, accuracy)

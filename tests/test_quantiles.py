@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tabulae.operators.quantiles import exact_quantiles, quantile_table
+from tabulae.operators.quantiles import exact_arrays, exact_quantiles, quantile_table
 
 PS = [0.0, 0.01, 0.1, 0.31, 0.5, 0.75, 0.9, 0.999, 1.0]
 
@@ -56,3 +56,28 @@ def test_element_rank_is_exact_decimal(spark):
         want = [float(max(1, math.ceil(Fraction(repr(p)) * n))) for p in ps]
         for method in ("exact", "distributed"):
             assert list(quantile_table(df, "x", ps, method=method).first()[0]) == want, (n, method)
+
+
+def test_many_columns_null_groups_and_no_exchange_reuse(spark):
+    """Several columns in one run equal Spark's built-in aggregates, whatever the plan reuses and into however many parts it shuffles."""
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["a", "b", None]), rnd.gauss(0, 1) if rnd.random() < 0.9 else None, float(rnd.randint(0, 50))) for _ in range(6000)]
+    rows += [("none", None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(5)
+    ps = [0.01, 0.25, 0.5, 0.99]
+    want = {}
+    for r in df.groupBy("g").agg(F.percentile("x", ps).alias("x"), F.percentile("y", ps).alias("y")).collect():
+        want[r.g] = (r.x, r.y)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.shuffle.partitions")}
+    try:
+        for reuse, parts in (("true", "8"), ("false", "8"), ("false", "200")):
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            for accuracy in (60, 10000):
+                got = exact_arrays(df, {"x": "x", "y": "y"}, ps, ["g"], True, accuracy).collect()
+                assert {r.g: (r.x, r.y) for r in got} == want
+                one = exact_arrays(df, {"x": "x"}, ps, (), False, accuracy).first().x
+                assert one == df.agg(F.expr(f"percentile_disc(array({','.join(map(str, ps))})) WITHIN GROUP (ORDER BY x)")).first()[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
