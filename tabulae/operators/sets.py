@@ -21,11 +21,13 @@ def periods_outside(df: DataFrame, period: str, allowed: Sequence[str]) -> DataF
 def guard_periods(df: DataFrame, period: str, allowed: Sequence[str], what: str = "this set") -> None:
     """Raise ``ValueError`` when a period outside ``allowed`` is present.
 
-    Only a bounded handful of offending labels reaches the driver.
+    The message has the number of offending labels and up to 20 of them.
     """
-    offenders = [r[0] for r in periods_outside(df, period, allowed).limit(20).collect()]
-    if offenders:
-        raise ValueError(f"{what} may only contain {sorted(allowed)}; found also: {sorted(map(str, offenders))}")
+    labels = periods_outside(df, period, allowed).select(F.col(period).cast("string").alias("label"))
+    found = labels.agg(F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.collect_set(F.coalesce("label", F.lit("NULL")))), 1, 20).alias("some")).first()
+    if found["n"]:
+        more = "" if found["n"] <= len(found["some"]) else f" and {found['n'] - len(found['some'])} more"
+        raise ValueError(f"{what} may only contain {sorted(allowed)}; found also {found['n']}: {list(found['some'])}{more}")
 
 
 def unseen_categories(train: DataFrame, test: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -41,7 +43,10 @@ def unseen_categories(train: DataFrame, test: DataFrame, columns: Sequence[str])
 
 
 def unseen_summary(unseen: DataFrame) -> DataFrame:
-    """Unseen codes collected per variable (bounded by the dictionary size)."""
+    """Unseen codes collected per variable: for dictionary-coded columns, whose codes are few.
+
+    Keys (customers, orders) stay in the long form of ``unseen_categories``.
+    """
     return unseen.groupBy("variable").agg(F.array_sort(F.collect_set("code")).alias("codes"),
                                           F.count(F.lit(1)).alias("n_unseen"))
 

@@ -12,11 +12,14 @@ from tabulae.sources import load_delivery
 
 
 def canon_sql(x: str) -> str:
-    """DuckDB form of ``canonical_code``."""
+    """DuckDB form of ``canonical_code``: plain numbers by text alone, exponent forms as numbers."""
     t = f"trim(CAST(({x}) AS VARCHAR))"
+    bare = f"ltrim(ltrim(regexp_replace({t}, '\\.0*$', ''), '+-'), '0')"
     n = f"try_cast({t} AS DOUBLE)"
     return (f"CASE WHEN {t} IS NULL OR {t} = '' THEN NULL "
-            f"WHEN {n} IS NOT NULL AND isfinite({n}) AND abs({n}) < 9.0e18 AND {n} = floor({n}) "
+            f"WHEN regexp_full_match({t}, '[+-]?[0-9]+(\\.0*)?') THEN "
+            f"CASE WHEN {bare} = '' THEN '0' WHEN starts_with({t}, '-') THEN '-' || {bare} ELSE {bare} END "
+            f"WHEN regexp_full_match({t}, '[+-]?[0-9.]+[eE][+-]?[0-9]+') AND {n} = floor({n}) AND abs({n}) <= 9007199254740992 "
             f"THEN CAST(CAST({n} AS BIGINT) AS VARCHAR) ELSE {t} END")
 
 
@@ -27,7 +30,8 @@ _K = "json_extract_string(props, '$.k')"
   SELECT event_id, {canon_sql(_K)} AS code_k, {canon_sql(_K + " || '.0'")} AS code_decimal,
          {canon_sql("'  ' || " + _K + " || ' '")} AS code_padded,
          {canon_sql("regexp_replace(" + _K + ", '[0-9]', '', 'g')")} AS code_blank,
-         {canon_sql("event_type")} AS code_text, {canon_sql("CAST(value AS VARCHAR)")} AS code_value
+         {canon_sql("event_type")} AS code_text, {canon_sql("CAST(value AS VARCHAR)")} AS code_value,
+         {canon_sql("'-0900719925' || lpad(CAST(event_id AS VARCHAR), 9, '0') || '.00'")} AS code_long
   FROM events""")
 def q_canonical_code(spark, sf_dir):
     """Canonical spelling of codes from raw event text in several decorations."""
@@ -38,7 +42,9 @@ def q_canonical_code(spark, sf_dir):
                     canonical_code(F.concat(F.lit("  "), k, F.lit(" "))).alias("code_padded"),
                     canonical_code(F.regexp_replace(k, "[0-9]", "")).alias("code_blank"),
                     canonical_code("event_type").alias("code_text"),
-                    canonical_code(F.col("value").cast("string")).alias("code_value"))
+                    canonical_code(F.col("value").cast("string")).alias("code_value"),
+                    canonical_code(F.concat(F.lit("-0900719925"), F.lpad(F.col("event_id").cast("string"), 9, "0"), F.lit(".00")))
+                    .alias("code_long"))
 
 
 _REQUIRED = ["C_CUSTKEY", "C_NAME", "C_NATIONKEY", "C_ACCTBAL", "C_MKTSEGMENT"]
@@ -101,14 +107,14 @@ def q_unseen_categories(spark, sf_dir):
 
 
 @query("unseen_summary", """
-  WITH c AS (SELECT 'o_custkey' AS variable, CAST(o_custkey AS VARCHAR) AS code, year(o_orderdate) AS year FROM orders
-             UNION ALL SELECT 'o_orderpriority', o_orderpriority, year(o_orderdate) FROM orders),
-  u AS (SELECT DISTINCT variable, code FROM c WHERE year = 2001
-        EXCEPT SELECT DISTINCT variable, code FROM c WHERE year < 2001)
+  WITH c AS (SELECT 'p_brand' AS variable, p_brand AS code, p_size FROM part
+             UNION ALL SELECT 'p_type', p_type, p_size FROM part),
+  u AS (SELECT DISTINCT variable, code FROM c WHERE p_size > 1 EXCEPT SELECT DISTINCT variable, code FROM c WHERE p_size = 1)
   SELECT variable, list_sort(list(code)) AS codes, count(*) AS n_unseen FROM u GROUP BY variable""")
 def q_unseen_summary(spark, sf_dir):
-    """O3: unseen test codes collected per categorical."""
-    return S.unseen_summary(q_unseen_categories(spark, sf_dir))
+    """O3: unseen codes collected per dictionary-coded categorical (keys stay in the long form)."""
+    part = load(spark, sf_dir, "part")
+    return S.unseen_summary(S.unseen_categories(part.filter("p_size = 1"), part.filter("p_size > 1"), ["p_brand", "p_type"]))
 
 
 @query("periods_per_split", _R + """

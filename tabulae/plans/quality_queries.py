@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabulae.functions import is_finite
+from tabulae.functions import compound_duration, is_finite
+from tabulae.functions.rules import valid_duration
 from tabulae.operators import quality as Q
-from tabulae.plans.registry import query, sround
+from tabulae.plans.registry import query, rnd, rsql, sround
 from tabulae.plans.tables import customers, labelled_documents, load
 from tabulae.spec import TableSpec
 
@@ -289,3 +290,27 @@ def q_duplicate_classes(spark, sf_dir):
     """U4: duplicate class totals per language cohort."""
     detail = Q.duplicate_detail(load(spark, sf_dir, "documents"), ["lang", "n_chars"], ["text"])
     return Q.duplicate_classes(detail, "lang")
+
+
+@query("duration_rules", """
+  WITH d AS (SELECT year(o_orderdate) AS year, l_linenumber AS most,
+                    (year(l_shipdate) - year(o_orderdate)) * 12 + month(l_shipdate) - month(o_orderdate) AS m
+             FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+  p AS (SELECT year, most, CAST(trunc(m / 12.0) AS INTEGER) AS years, m - 12 * CAST(trunc(m / 12.0) AS INTEGER) AS months FROM d),
+  v AS (SELECT *, years + months / 12.0 AS duration,
+               years >= 0 AND months BETWEEN 0 AND 11 AND years * 12 + months <= 12 * most AS ok FROM p)
+  SELECT CAST(year AS INTEGER) AS year, count(*) AS rows, count(*) FILTER (ok) AS valid,
+         """ + rsql("avg(duration) FILTER (ok)", 6) + " AS mean_duration FROM v GROUP BY year")
+def q_duration_rules(spark, sf_dir):
+    """Order-to-ship time in years plus months: validity of the two parts against a bound, mean of the valid ones."""
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_linenumber")
+    m = (F.year("l_shipdate") - F.year("o_orderdate")) * 12 + F.month("l_shipdate") - F.month("o_orderdate")
+    parts = li.join(o, "l_orderkey").select(F.year("o_orderdate").alias("year"), F.col("l_linenumber").alias("most"), m.alias("m"))
+    years = F.when(F.col("m") < 0, F.ceil(F.col("m") / 12)).otherwise(F.floor(F.col("m") / 12))
+    parts = parts.withColumn("years", years.cast("int")).withColumn("months", F.col("m") - 12 * F.col("years"))
+    ok = valid_duration("years", "months", "most")
+    return parts.groupBy("year").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(ok.cast("long")).alias("valid"),
+        rnd(F.avg(F.when(ok, compound_duration("years", "months"))), 6).alias("mean_duration"))
+

@@ -63,3 +63,26 @@ def test_classes(spark):
     assert [r[0] for r in df.select(correlation_strength("r")).collect()] == ["negligible", "weak", "moderate", "strong"]
     assert [r[0] for r in df.select(skew_verdict(F.col("r") * 2)).collect()] == [
         "roughly symmetric", "roughly symmetric", "right-skewed", "left-skewed"]
+
+
+def test_long_codes_keep_every_digit(spark):
+    cases = {"9007199254740993": "9007199254740993", " 1234567890123456789.00 ": "1234567890123456789", "-007": "-7", "+5.": "5",
+             "000": "0", "-0.0": "0", "1e3": "1000", "1.5e1": "15", "1.25": "1.25", "12a": "12a", "1e400": "1e400", "": None}
+    df = spark.createDataFrame([(k,) for k in cases], "c string")
+    assert {r.c: r.v for r in df.select("c", canonical_code("c").alias("v")).collect()} == cases
+
+
+def test_rules_are_false_on_absent_values(spark):
+    from tabulae.functions.rules import member, valid_duration, within
+    rows = [(1, 2.0, 6.0, "a"), (2, 2.0, 12.0, "z"), (3, None, 1.0, None), (4, float("nan"), 1.0, "a"), (5, 1.0, 0.5, "b"), (6, 40.0, 0.0, "a")]
+    df = spark.createDataFrame(rows, "i int, y double, m double, c string")
+    got = df.select("i", valid_duration("y", "m", F.lit(30)).alias("d"), member("c", ["a", "b"]).alias("k"),
+                    within("y", above=1, high=10).alias("w")).collect()
+    assert [(r.i, r.d, r.k, r.w) for r in got] == [(1, True, True, True), (2, False, False, True), (3, False, False, False),
+                                                   (4, False, True, False), (5, False, True, False), (6, False, True, False)]
+
+
+def test_profile_names_of_any_length(spark):
+    from tabulae.functions import profile_name
+    long = "x" * 1_100_000
+    assert spark.range(1).select(F.length(profile_name([F.lit(long)]))).first()[0] == len(long)
