@@ -206,11 +206,14 @@ def q_sample_rows(spark, sf_dir):
     return X.sample_rows(records(spark, sf_dir).select("l_orderkey", "l_linenumber", TARGET), 500, 42)
 
 
-@query("hash_sample")
+@query("hash_sample", RECORDS_SQL + """
+  SELECT l_orderkey, l_linenumber, l_extendedprice FROM r
+  ORDER BY md5(concat_ws('|', '42', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR))),
+           l_orderkey, l_linenumber, l_partkey LIMIT 500""")
 def q_hash_sample(spark, sf_dir):
-    """Layout-independent sample of 500 records by seeded key hash."""
-    return X.hash_sample(records(spark, sf_dir).select("l_orderkey", "l_linenumber", TARGET), 500,
-                         ["l_orderkey", "l_linenumber"], 42)
+    """Layout-independent sample of 500 records by seeded key hash (sampling is the feature)."""
+    r = records(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", TARGET)
+    return X.hash_sample(r, 500, ["l_orderkey", "l_linenumber", "l_partkey"], 42).drop("l_partkey")
 
 
 # --------------------------------------------------------------------------- distributed exact quantiles

@@ -8,7 +8,7 @@ from tabulae.operators import harmonise as H
 from tabulae.operators import sets as S
 from tabulae.plans.registry import query
 from tabulae.plans.tables import load, records
-from tabulae.sources import load_delivery
+from tabulae.sources import load_delivery, shared_folder
 
 
 def canon_sql(x: str) -> str:
@@ -65,6 +65,27 @@ def q_harmonise_types(spark, sf_dir):
                          year=2024, quarter=1, fmt="parquet")
 
 
+@query("moved_headers", f"""
+  SELECT {canon_sql('o_orderkey')} AS order_id, {canon_sql('o_orderpriority')} AS priority, o_totalprice AS price,
+         CAST(o_custkey AS INTEGER) AS customer,
+         'd' || CAST(o_orderkey % 2 AS VARCHAR) AS period, 'd' || CAST(o_orderkey % 2 AS VARCHAR) AS source FROM orders""")
+def q_moved_headers(spark, sf_dir):
+    """Text deliveries whose columns stand in another order, with another spelling and one more column,
+    read by name, typed and stacked."""
+    folder = shared_folder(spark)
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    parts = []
+    for i in (0, 1):
+        d = o.filter(F.col("o_orderkey") % 2 == i).select(*[F.col(c).cast("string").alias(c.upper() if i else f" {c} ")
+                                                            for c in (reversed(o.columns) if i else o.columns)])
+        d = d.withColumn("EXTRA", F.lit("x")) if i else d
+        d.write.option("header", "true").csv(f"{folder}/d{i}")
+        parts.append(load_delivery(spark, f"{folder}/d{i}", f"d{i}", ["O_ORDERKEY", "O_CUSTKEY", "O_TOTALPRICE", "O_ORDERPRIORITY"],
+                                   {"O_ORDERKEY": "order_id", "O_CUSTKEY": "customer", "O_TOTALPRICE": "price", "O_ORDERPRIORITY": "priority"},
+                                   doubles=["price"], ints=["customer"], codes=["order_id", "priority"]))
+    return H.stack_by_name(parts)
+
+
 @query("stack_by_name", """
   SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem""")
 def q_stack_by_name(spark, sf_dir):

@@ -478,13 +478,17 @@ def q_subset_summary(spark, sf_dir):
     return round_doubles(E.subset_summary(scored(spark, sf_dir), "o_orderpriority", ["1-URGENT", "2-HIGH"], PRED), 2)
 
 
-@query("common_sample")
+@query("common_sample", SCORED_SQL + f"""
+  SELECT l_orderkey, l_linenumber, l_extendedprice, o_orderpriority, l_returnflag, {rsql('pred_baseline', 4)} AS pred_baseline,
+         {rsql('pred_ols', 4)} AS pred_ols, {rsql('residual_baseline', 4)} AS residual_baseline, {rsql('residual_ols', 4)} AS residual_ols
+  FROM p ORDER BY md5(concat_ws('|', '42', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR))),
+                  l_orderkey, l_linenumber, l_partkey LIMIT 500""")
 def q_common_sample(spark, sf_dir):
     """One common sample of 500 scored rows with every model's prediction and residual."""
     from tabulae.operators.explore import hash_sample
-    p = scored(spark, sf_dir).select("l_orderkey", "l_linenumber", LABEL, *CATEGORICALS, "pred_baseline", "pred_ols",
+    p = scored(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", LABEL, *CATEGORICALS, "pred_baseline", "pred_ols",
                                      "residual_baseline", "residual_ols")
-    return hash_sample(p, 500, ["l_orderkey", "l_linenumber"], 42)
+    return round_doubles(hash_sample(p, 500, ["l_orderkey", "l_linenumber", "l_partkey"], 42).drop("l_partkey"), 4, skip=(LABEL,))
 
 
 @query("importance_shares")

@@ -99,6 +99,25 @@ def q_pca_variance(spark, sf_dir):
     return round_doubles(G.explained_variance(G.pca(scaled)), 8)
 
 
+@query("level_names", RECORDS_SQL + f"""
+  , s AS (SELECT avg(l_quantity) AS mq, stddev_samp(l_quantity) AS sq, avg(l_discount) AS md, stddev_samp(l_discount) AS sd,
+                 avg(l_tax) AS mt, stddev_samp(l_tax) AS st FROM r)
+  , z AS (SELECT CAST(floor((l_quantity - 1) / 10) AS INTEGER) * 3 + CAST(floor(l_discount / 0.04) AS INTEGER) AS cluster,
+                 avg((l_quantity - mq) / sq) AS q, avg((l_discount - md) / sd) AS d, avg((l_tax - mt) / st) AS t FROM r, s GROUP BY 1)
+  , w AS (SELECT *, concat_ws(', ', CASE WHEN q >= 0.5 THEN 'large orders' WHEN q <= -0.5 THEN 'small orders' END,
+                 CASE WHEN d >= 0.5 THEN 'high discount' WHEN d <= -0.5 THEN 'low discount' END,
+                 CASE WHEN t >= 0.5 THEN 'high tax' WHEN t <= -0.5 THEN 'low tax' END) AS words FROM z)
+  SELECT cluster, {rsql('q', 6)} AS l_quantity_z, {rsql('d', 6)} AS l_discount_z, {rsql('t', 6)} AS l_tax_z,
+         CASE WHEN words = '' THEN 'Average profile' ELSE upper(words[1]) || words[2:] END AS name FROM w""")
+def q_level_names(spark, sf_dir):
+    """Z-centroids of a given labelling (bands of quantity and discount), named from their profile."""
+    from tabulae.operators.features import standardise
+    label = F.floor((F.col("l_quantity") - 1) / 10).cast("int") * 3 + F.floor(F.col("l_discount") / 0.04).cast("int")
+    r = records(spark, sf_dir).select(label.alias("cluster"), *VARS)
+    cent = standardise(r, VARS, keep=["cluster"]).groupBy("cluster").agg(*[F.avg(f"{v}_z").alias(f"{v}_z") for v in VARS])
+    return round_doubles(G.name_clusters(cent, TRAITS), 6)
+
+
 # --------------------------------------------------------------------------- KMeans (rows-only)
 
 def _grid(spark, sf_dir, variables=VARS, frame=None):
