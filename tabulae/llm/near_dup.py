@@ -286,13 +286,20 @@ def _differences(a: Column, b: Column) -> Column:
 
 
 def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that hold on the full texts, as a written table."""
+    return verified(pairs, texts, _similar(words, percent))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, check) -> DataFrame:
+    """The pairs (a, b) that ``check`` (an Arrow batch function of a, b and both texts) lets through, as a written table.
+
+    ``texts`` (id, text) may have an id more than once.
+    """
     pairs = written(pairs.distinct())
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     held = texts.join(wanted, "id", "left_semi")
     both = (pairs.join(held.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
             .join(held.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
             .select("a", "b", "left", "right"))
-    links = written(both.mapInArrow(_similar(words, percent), "a long, b long"))
+    links = written(both.mapInArrow(check, "a long, b long"))
     discard(pairs)
     return links
