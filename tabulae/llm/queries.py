@@ -103,7 +103,25 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
-@query("op6_minhash")
+#: Exact pairs by shared shingles, then the transitive closure of the links.
+MINHASH_SQL = r"""
+WITH RECURSIVE letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), upper, lower), '[^\x20\x09-\x0D]+') AS w FROM documents, letters),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS shingle
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, other) AS (SELECT a, b FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a),
+c AS (SELECT doc_id, min(other) AS least_other FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(least_other, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(least_other, d.doc_id)) AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id
+"""
+
+
+@query("op6_minhash", MINHASH_SQL)
 def minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on four-word shingles."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
