@@ -99,6 +99,23 @@ def q_pca_variance(spark, sf_dir):
     return round_doubles(G.explained_variance(G.pca(scaled)), 8)
 
 
+@query("elbow_choice", RECORDS_SQL + ", t AS (" + " UNION ALL ".join(
+    f"""SELECT {k} AS k, sum(ss) AS wssse, 100.0 * min(n) / sum(n) AS smallest_pct
+        FROM (SELECT count(*) AS n, count(*) * var_pop(l_quantity) AS ss FROM r GROUP BY floor((l_quantity - 1) * {k} / 50))""" for k in KS) + """)
+  , f AS (SELECT *, (lag(wssse) OVER (ORDER BY k) - wssse) / lag(wssse) OVER (ORDER BY k) AS fall FROM t)
+  SELECT CAST(arg_max(k, fall) FILTER (k >= 3 AND smallest_pct >= 5) AS INTEGER) AS k, 'elbow' AS rule FROM f""")
+def q_elbow_choice(spark, sf_dir):
+    """The elbow rule over given labellings (k equal bands of the quantity)."""
+    r, table = records(spark, sf_dir).select("l_quantity"), None
+    for k in KS:
+        sizes = r.groupBy(F.floor((F.col("l_quantity") - 1) * k / 50).alias("c")).agg(
+            F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) * F.var_pop("l_quantity")).alias("ss"))
+        one = sizes.agg(F.lit(k).alias("k"), F.sum("ss").alias("wssse"), (100.0 * F.min("n") / F.sum("n")).alias("smallest_pct"),
+                        F.lit(0.0).alias("silhouette"))
+        table = one if table is None else table.unionByName(one)
+    return G.choose_k(G.with_reduction(table))
+
+
 @query("level_names", RECORDS_SQL + f"""
   , s AS (SELECT avg(l_quantity) AS mq, stddev_samp(l_quantity) AS sq, avg(l_discount) AS md, stddev_samp(l_discount) AS sd,
                  avg(l_tax) AS mt, stddev_samp(l_tax) AS st FROM r)
