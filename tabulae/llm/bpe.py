@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tabulae.llm.common import built, ship, structs
 
 MAX_VOCABULARY = 64 << 20
-CACHED_WORDS = 200_000
+CACHED_WORDS = 120_000
 #: Letters and numbers that Unicode 17 adds.  Tokenizer tables end with Unicode 16 and see other signs.
 _UNICODE_17 = (
     "\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c-\uab6d"

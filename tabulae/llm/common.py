@@ -19,8 +19,16 @@ WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <=
 SPACED_BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 
 
+#: Bytes of an Arrow batch, where the session has left Spark's default: a worker holds a batch of texts several times
+#: over (bytes, strings, results).
+BATCH_BYTES = 12 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that their Python workers can import it."""
+    """Send this package to the executors, once per application, so that their Python workers can import it,
+    and keep batches of texts small unless the session sets their size itself."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") in ("64MB", "64m", f"{64 << 20}b", f"{64 << 20}"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
     sc = spark.sparkContext
     if getattr(sc, "_tabulae_shipped", False):
         return
@@ -88,12 +96,14 @@ _BUILT: dict[tuple[str, int], tuple[object, object]] = {}
 
 
 def built(block, make):
-    """``make`` of a broadcast's value, once per worker process; the few latest stay."""
+    """``make`` of a broadcast's value, once per worker process.
+
+    The worker serves one operator after the other: only the latest is kept.
+    """
     value = block.value
     key = (make.__qualname__, id(value))
     if key not in _BUILT:
-        if len(_BUILT) >= 4:
-            _BUILT.clear()
+        _BUILT.clear()
         _BUILT[key] = (value, make(value))  # holding the value keeps its id from being used again
     return _BUILT[key][1]
 

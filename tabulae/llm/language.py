@@ -34,7 +34,7 @@ LEVEL_OFF, SMOOTHING = 300, 5.0
 UNKNOWN = "und"
 #: Log probability of any trigram under ``und``, log odds for it of a text without letters, and its share beforehand.
 UNKNOWN_TRIGRAM, NO_LETTERS, UNKNOWN_SHARE = -11.5, 8.0, 0.001
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 #: Suffixes of hosts that speak for a language.
 SUFFIXES = {"at": "de", "au": "en", "cl": "es", "co": "es", "de": "de", "es": "es", "fr": "fr", "ie": "en", "it": "it",
             "mx": "es", "nl": "nl", "nz": "en", "pl": "pl", "pt": "pt", "uk": "en", "us": "en"}

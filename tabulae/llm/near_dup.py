@@ -34,7 +34,7 @@ BANDS, ROWS = 32, 5
 #: Bits of the bitmap that bounds the difference of two sets.
 BITS = 2048
 #: Shingles that one vectorised step takes together, and words whose hashes a worker keeps.
-STEP, CACHED_WORDS = 250_000, 400_000
+STEP, CACHED_WORDS = 150_000, 200_000
 #: Rows without an id get one from here on, by their text.
 NO_ID = 1 << 62
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
