@@ -67,10 +67,10 @@ def tokenizer(content: bytes):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _tokens(block, texts: pa.Array) -> Iterator[np.ndarray]:
-    found = built(block, tokenizer)
+def _tokens(block, texts: pa.Array) -> Iterator[list[int]]:
+    encode = built(block, tokenizer).encode_ordinary
     for text in texts.to_pylist():
-        yield found.encode_to_numpy(text, disallowed_special=()) if text else np.empty(0, dtype=np.uint32)
+        yield encode(text) if text else []
 
 
 def _counted(block):
@@ -104,8 +104,9 @@ def _pieces(block, starts, count: int, per_shard: int, length: int, key: int):
 
         for batch in batches:
             for tokens in _tokens(block, batch.column(0)):
-                waiting.append(np.append(tokens, END).astype("<u2"))
-                held += len(tokens) + 1
+                tokens.append(END)
+                waiting.append(np.array(tokens, dtype="<u2"))
+                held += len(tokens)
                 if held >= 256 * length:
                     yield cut(False)
         yield cut(True)
