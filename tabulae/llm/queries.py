@@ -135,8 +135,8 @@ def balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_edit_fingerprint")
 def edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every text and its edited text, with the next document's likeness."""
-    return edit_embedding.neighbours_compared(table(spark, sf_dir, "documents"))
+    """Fingerprints of every text and its edited text, with the next document's likeness, and groups of near texts."""
+    return edit_embedding.compared_and_grouped(table(spark, sf_dir, "documents"))
 
 
 @query("op4_toxicity")
