@@ -1,10 +1,10 @@
-"""License scans: winnowed fingerprints of templates, then banded sequence alignment.
+"""License scans: an index of the templates' word runs, then banded sequence alignment.
 
 Templates and texts are compared as words (runs of ASCII letters and digits, lower case, and of
-non-ASCII characters).  Of every ``WINDOW`` neighbouring runs of ``GRAM`` words of a template
-the one with the least hash is a fingerprint; an inverted index leads from fingerprints to
-templates and places.  A text looks up all its runs, so that a shared stretch of ``GRAM`` +
-``WINDOW`` - 1 words always meets a fingerprint.  Hits of a template on neighbouring diagonals
+non-ASCII characters).  Every run of ``GRAM`` words of a template is a fingerprint, of templates
+below ``SHORT`` words every run of ``SHORT_GRAM``; an inverted index leads from fingerprints to
+templates and places.  A text looks up all its runs.  A template of which a share ``COVERAGE`` of
+words is left, the others changed or dropped, keeps such a run wherever the changes are.  Hits of a template on neighbouring diagonals
 form a candidate; a local alignment in a band around them counts the template words that the
 text has and gives the span.  Candidates that cover at least ``COVERAGE`` of a template are reported.
 """
@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from tabulae.llm.common import WORD_BYTES, blobs, built, ship, utf8
 from tabulae.llm.near_dup import mixed
 
-GRAM, WINDOW = 3, 4
+GRAM = 3
+#: Templates with fewer words have shorter runs.
+SHORT, SHORT_GRAM = 8, 2
 #: Half the width of the band, in words (half a shorter template); diagonals closer than this are one candidate.
 BAND = 8
 COVERAGE = 0.8
@@ -115,14 +117,17 @@ class Index:
         self.names = sorted(templates)
         self.hashes: dict[bytes, int] = {}
         self.templates = [self.numbers(words(templates[n].encode())) for n in self.names]
-        entries: list[tuple[int, int, int]] = []
-        for t, numbers in enumerate(self.templates):
-            grams = self.grams(numbers)
-            picked = {a + int(np.argmin(grams[a:a + WINDOW])) for a in range(max(1, len(grams) - WINDOW + 1))} if len(grams) else set()
-            entries += [(int(grams[p]), t, p) for p in picked]
-        entries.sort()
-        self.keys = np.array([e[0] for e in entries], dtype=np.uint64)
-        self.places = [(t, p) for _, t, p in entries]
+        #: by the length of a run: hashes in order, and their templates and places
+        self.runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in (SHORT_GRAM, GRAM):
+            mine = [(t, self.grams(n, size)) for t, n in enumerate(self.templates)
+                    if len(n) >= GRAM and (SHORT_GRAM if len(n) < SHORT else GRAM) == size]
+            if mine:
+                keys = np.concatenate([g for _, g in mine])
+                owner = np.repeat([t for t, _ in mine], [len(g) for _, g in mine])
+                place = np.concatenate([np.arange(len(g)) for _, g in mine])
+                order = np.argsort(keys, kind="stable")
+                self.runs[size] = keys[order], owner[order], place[order]
 
     def numbers(self, found: list[bytes]) -> np.ndarray:
         get = self.hashes.get
@@ -135,32 +140,29 @@ class Index:
         return n
 
     @staticmethod
-    def grams(numbers: np.ndarray) -> np.ndarray:
-        size = len(numbers) - GRAM + 1
+    def grams(numbers: np.ndarray, run: int = GRAM) -> np.ndarray:
+        size = len(numbers) - run + 1
         if size <= 0:
             return np.empty(0, dtype=np.uint64)
         total = np.zeros(size, dtype=np.uint64)
-        for k in range(GRAM):
+        for k in range(run):
             total = mixed(total ^ numbers[k:k + size])
         return total
 
     def scan(self, text: bytes, coverage: float) -> list[dict]:
         """Matches (license, coverage, start, end) with code point offsets, by start, then name."""
         numbers = self.numbers(words(text))
-        grams = self.grams(numbers)
-        if not len(grams) or not len(self.keys):
-            return []
-        first = np.searchsorted(self.keys, grams, side="left")
-        hits = np.flatnonzero(self.keys[np.minimum(first, len(self.keys) - 1)] == grams)
-        if not len(hits):
-            return []
         anchors = []
-        for j in hits.tolist():
-            e = int(first[j])
-            while e < len(self.keys) and self.keys[e] == grams[j]:
-                t, p = self.places[e]
-                anchors.append((t, j - p))
-                e += 1
+        for run, (keys, owner, place) in self.runs.items():
+            grams = self.grams(numbers, run)
+            first = np.searchsorted(keys, grams, side="left")
+            for j in np.flatnonzero(keys[np.minimum(first, len(keys) - 1)] == grams).tolist():
+                e = int(first[j])
+                while e < len(keys) and keys[e] == grams[j]:
+                    anchors.append((int(owner[e]), j - int(place[e])))
+                    e += 1
+        if not anchors:
+            return []
         anchors.sort()
         plain, found, last = numbers.tolist(), {}, None
         for t, diagonal in anchors:

@@ -56,3 +56,22 @@ def test_rows(spark, odd, none):
     assert s.scan(odd).filter("n_matches = 0").count() == odd.count() and s.scan(none).count() == 0
     own = s.scan(docs, templates={"mine": "released under my license", "tiny": "x"})
     assert {r.doc_id: r.licenses for r in own.collect()} == {1: [], 2: ["mine"], 3: []}
+
+
+def test_every_change_of_one_word_in_a_short_template_is_found():
+    index = s.Index(s.TEMPLATES)
+    for name, notice in s.TEMPLATES.items():
+        words = [w.decode() for w in s.words(notice.encode())]
+        if len(words) > 14:
+            continue
+        for at in range(len(words)):
+            for new in (["changed"], []):
+                text = f"{phrase(1, 20)} {' '.join(words[:at] + new + words[at + 1:])} {phrase(2, 20)}"
+                found = {m["license"]: m["coverage"] for m in index.scan(text.encode(), s.COVERAGE)}
+                assert found.get(name) == (len(words) - 1) / len(words), (name, at, new)
+
+
+def test_changes_all_over_a_long_template_are_found():
+    words = s.TEMPLATES["MIT-text"].split()
+    words[4::5] = ["changed"] * len(words[4::5])
+    assert [m["license"] for m in s.Index(s.TEMPLATES).scan(" ".join(words).encode(), s.COVERAGE)] == ["MIT-text"]
