@@ -6,12 +6,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulae.llm import bpe, decontaminate, edit_embedding, language, license_scan, near_dup, sharding, toxicity, training_order, url_filter
+from tabulae.llm import (bpe, decontaminate, divergence, edit_embedding, language, license_scan, near_dup, packing, resampling, sharding,
+                         toxicity, training_order, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def vocabulary_path(name: str) -> str:
@@ -162,3 +164,72 @@ def training_order_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def license_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every document with their coverage and spans."""
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_packing")
+def packed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in its window of tokens, with a checksum of the piece's ids."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(BYTE_TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+#: Every group gives every kept term of its language a share; the pairs are summed in full.
+DIVERGENCE_SQL = r"""
+WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
+d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), upper, lower), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents, letters),
+w AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term),
+l AS (SELECT lang, term, n, 1 + (1000000000 * (n::HUGEINT + 1)) // (sum(n) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))::HUGEINT AS q FROM k),
+g AS (SELECT DISTINCT lang, source FROM d),
+a AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN k ON k.lang = g.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT lang, source, term, n, 1 + (1000000000 * (n::HUGEINT + 1)) // (sum(n) OVER (PARTITION BY lang, source) + count(*) OVER (PARTITION BY lang, source))::HUGEINT AS p FROM a),
+v AS (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS value
+      FROM s x JOIN s y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY x.lang, x.source, y.source),
+pairs AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(v.value, 0) AS BIGINT) AS value
+          FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+          LEFT JOIN v ON v.lang = x.lang AND v.source = x.source AND v.item = y.source),
+terms AS (SELECT s.lang, s.source, 'term' AS part, s.term AS item, CAST(((p - q) * (p - q)) // q AS BIGINT) AS value
+          FROM s JOIN l ON l.lang = s.lang AND l.term = s.term WHERE s.n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query("op12_divergence", DIVERGENCE_SQL)
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms that set each source apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+#: The CRC-32 of a feature goes over its bytes with a table that the bit rule makes.
+RESAMPLE_SQL = r"""
+WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
+steps AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS steps
+          FROM (SELECT unnest(range(256)) AS i)),
+t AS (SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), upper, lower), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents, letters
+      UNION ALL SELECT 'b', item_id, regexp_extract_all(translate(coalesce(text, ''), upper, lower), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark, letters),
+f AS (SELECT side, id, array_to_string(w[i:i + size - 1], ' ') AS f
+      FROM (SELECT side, id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM t, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size)),
+g AS (SELECT side, id, f, count(*) AS n FROM f GROUP BY ALL),
+k AS (SELECT f, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(f)), '..'), lambda x: CAST(('0x' || x) AS BIGINT)),
+             lambda c, x: xor(c >> 8, steps[CAST(xor(c & 255, x) AS INTEGER) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+      FROM (SELECT DISTINCT f FROM g), steps),
+b AS (SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::BIGINT AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::BIGINT AS t FROM g JOIN k ON k.f = g.f GROUP BY bucket),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM b) + 10000)::DOUBLE / ((s + 1) * ((SELECT sum(t) FROM b) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM b),
+e AS (SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM g JOIN k ON k.f = g.f JOIN gain ON gain.bucket = k.bucket WHERE side = 'd' GROUP BY id),
+p AS (SELECT t.id AS doc_id, len(w) >= 20 AS may, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             CAST('0x' || substr(sha256('42:' || t.id), 1, 8) AS BIGINT) AS h FROM t LEFT JOIN e ON e.id = t.id WHERE side = 'd'),
+q AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM p),
+o AS (SELECT *, row_number() OVER (PARTITION BY may ORDER BY score DESC, doc_id) AS place, count(*) FILTER (may) OVER () AS n FROM q)
+SELECT doc_id, n_features, weight, score, CASE WHEN may AND place <= 5 * n // 100 THEN place END AS rank FROM o
+"""
+
+
+@query("op13_resampling", RESAMPLE_SQL)
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark's distribution and the ranks of the drawn twentieth."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
