@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 
 from tabulae.llm import divergence
-from tests_llm_phrase import phrase
 
 
 def expected(rows, least_docs=3, ranks=200):
@@ -62,7 +61,8 @@ def test_equal_to_brute_force(spark, ranks):
     rows = [(" ".join(rng.choices(words, [1 / (1 + i) for i in range(len(words))], k=rng.randrange(30))) or None,
              rng.choice(["en", "de", None, ""]), rng.choice(["s", "t", "u", None])) for _ in range(160)] + [("solo term", "xx", "s"), (None, "yy", "s"), ("", "yy", "t")]
     docs = spark.createDataFrame(rows, "text string, lang string, source string").repartition(4)
-    assert got(divergence.audit(docs, ranks=ranks)) == expected(rows, ranks=ranks)
+    for most in (1024, 0):  # with all groups in every task, and by joins
+        assert got(divergence.audit(docs, ranks=ranks, most_groups=most)) == expected(rows, ranks=ranks)
 
 
 def test_small_merges_give_the_same(spark, monkeypatch):
@@ -80,10 +80,20 @@ def test_small_merges_give_the_same(spark, monkeypatch):
 
 def test_odd_rows_clashing_columns_and_empty_tables(spark, odd, none, monkeypatch):
     rows = [(r.text, r.lang, r.source) for r in odd.collect()]
-    monkeypatch.setattr(divergence, "BLOCK_WORDS", 1000)
+    monkeypatch.setattr(divergence, "PIECE", 1000)
+    monkeypatch.setattr(divergence, "HELD", 2000)
     assert got(divergence.audit(odd)) == expected(rows)
     assert divergence.audit(none).count() == 0
-    assert divergence.terms(("Ab " * 2500).encode()) == {b"ab": 2500}
+    for text in ("Ab " * 2500, "a" * 3000 + " b c" + "d" * 2500, "x " + "y" * 5000, "", " ", "z" * 1500):
+        cut = [p.split() for p in divergence.pieces(text.encode())]
+        assert [w for p in cut for w in p] == text.lower().encode().split()
+
+
+def test_pairs_in_small_slices(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(" ".join("w" + chr(97 + rng.randrange(20)) for _ in range(25)), "en", f"s{i % 7}") for i in range(80)]
+    monkeypatch.setattr(divergence, "PAIRS", 5)
+    assert got(divergence.audit(spark.createDataFrame(rows, "text string, lang string, source string"))) == expected(rows)
 
 
 def test_large_counts_stay_exact(spark):
@@ -93,6 +103,5 @@ def test_large_counts_stay_exact(spark):
     groups, kept = divergence.kept_terms(spark.createDataFrame(counts, "lang string, source string, term string, n long, docs long"))
     share = lambda n, total: 1 + 1_000_000_000 * (n + 1) // (total + 2)
     a, b = (share(big, big + 17), share(17, big + 17)), (share(big // 3, big // 3), share(0, big // 3))
-    values = {r.source: r.value for r in divergence.pair_values(groups, kept).collect()}
-    assert values == {"a": sum((p - q) ** 2 // q for p, q in zip(a, b)), "b": sum((p - q) ** 2 // q for p, q in zip(b, a))}
-    assert phrase(1, 1)
+    for found in (divergence.pair_values(groups, divergence.shares(groups, kept)), divergence.both_values(groups, kept, 5)[0]):
+        assert {r.source: r.value for r in found.collect()} == {"a": sum((p - q) ** 2 // q for p, q in zip(a, b)), "b": sum((p - q) ** 2 // q for p, q in zip(b, a))}
