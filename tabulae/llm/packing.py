@@ -4,10 +4,10 @@ Documents are tokenised once, each followed by an end mark, and written with the
 lexical terms of the search are token ids, so all statistics are arrays as long as the vocabulary:
 how many documents hold a token (exact, over all documents) and the average length.
 
-The inverted index is sharded.  A document's key is its token with the greatest BM25 weight that
-other documents hold too; documents with one key stand in one shard, shards take the keys in order
-until they have ``SHARD_TOKENS``, and the documents of a larger key are dealt over as many shards as
-it needs.  Every shard is packed by itself: whole windows of long documents first; then the longest
+The inverted index is sharded.  A document's key is its most telling token as far as the vocabulary
+says (tokens that were merged later are rarer, and a repeated one tells more); documents with one key
+stand in one shard, shards take the keys in order until they have ``SHARD_TOKENS``, and the documents
+of a larger key are dealt over as many shards as it needs.  Every shard is packed by itself: whole windows of long documents first; then the longest
 rest that is unused is a seed, the index returns the unused documents in the order of their BM25
 scores for the seed's ``QUERY_TOKENS`` most telling tokens, and they fill its window greedily: those
 that fit, and the beginning of the best that doesn't.  Where no neighbour is left, the next unused
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,8 @@ from tabulae.llm.common import built, ship, written
 
 WINDOW, END = 1024, 0
 SHARD_TOKENS = 1 << 20
+#: Shards that a task packs one after the other, about.
+SHARDS_PER_TASK = 8
 #: What a document counts in a shard besides its tokens, so that shards of tiny ones stay small too.
 ROW_TOKENS = 64
 QUERY_TOKENS = 32
@@ -73,22 +76,45 @@ def vocabulary(path: str) -> tuple[str, int]:
     return content, 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
 
 
-def tokenised(docs: DataFrame, content: str, kind: str, id_col: str, text_col: str, end: int) -> DataFrame:
-    """(id, n, tokens) of every row: the ids in ``kind``, the end mark last."""
-    block = docs.sparkSession.sparkContext.broadcast(content)
+def key_of(term: np.ndarray, often: np.ndarray) -> int:
+    """The most telling token before anything is known of other documents; 0 for none."""
+    return int(term[np.argmax(np.log(term + 2.0) * often / (often + K1))]) if len(term) else 0
 
-    @F.arrow_udf("struct<n long, tokens binary>")
-    def run(texts: pa.Array) -> pa.Array:
-        encode = built(block, Encoder).encode
-        rows = []
-        for text in texts.to_pylist():
-            ids = encode(text) if text else []
-            ids.append(end)
-            rows.append(np.array(ids, dtype=kind).tobytes())
-        width = np.dtype(kind).itemsize
-        return pa.StructArray.from_arrays([pa.array([len(r) // width for r in rows], pa.int64()), pa.array(rows, pa.binary())], names=["n", "tokens"])
 
-    return docs.select(F.col(f"`{id_col}`").alias("id"), run(F.col(f"`{text_col}`").cast("string")).alias("t")).select("id", "t.*")
+def _tokenised(block, kind: str, size: int, end: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(id, n, key, tokens) of each text (id, text); last, in a row of their own, how many texts hold each token."""
+        encode, code = built(block, Encoder).encode, np.dtype(kind).char
+        names = ["id", "n", "key", "tokens", "holders"]
+        holders, id_type = np.zeros(size, dtype=np.int64), None
+        for batch in batches:
+            id_type = batch.schema.field(0).type
+            counts, keys, rows = [], [], []
+            for text in batch.column(1).to_pylist():
+                ids = array(code, encode(text)) if text else array(code)
+                term, often = np.unique(np.frombuffer(ids, dtype=kind), return_counts=True)
+                holders[term] += 1
+                keys.append(key_of(term, often))
+                ids.append(end)
+                counts.append(len(ids))
+                rows.append(ids.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.int32()), pa.array(rows, pa.binary()),
+                                              pa.nulls(len(rows), pa.binary())], names=names)
+        if id_type is not None:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.array([0], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
+                                              pa.array([holders.astype("<i8").tobytes()], pa.binary())], names=names)
+
+    return run
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, n) summed over a partition's counts."""
+    total = None
+    for batch in batches:
+        for found in _arrays(batch.column(0), "<i8"):
+            total = found if total is None else total + found
+    some = np.flatnonzero(total) if total is not None else np.empty(0, dtype=np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some] if len(some) else some)], names=["token", "n"])
 
 
 class Weights:
@@ -97,7 +123,6 @@ class Weights:
     def __init__(self, stats: tuple[np.ndarray, int, float, int]):
         holders, rows, self.mean, self.end = stats
         self.idf = np.log1p((rows - holders + 0.5) / (holders + 0.5)).astype(np.float32)
-        self.shared = holders > 1
 
     def of(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(distinct tokens without the end mark, their weights)."""
@@ -105,55 +130,23 @@ class Weights:
         weight = self.idf[term] * (often * (K1 + 1) / (often + K1 * (1 - B + B * len(tokens) / self.mean)))
         return term, weight.astype(np.float32)
 
-    def key(self, tokens: np.ndarray) -> int:
-        """The token of the greatest weight that other documents hold too; one past the vocabulary if there is none."""
-        term, weight = self.of(tokens)
-        keep = self.shared[term]
-        return int(term[keep][np.argmax(weight[keep])]) if keep.any() else len(self.idf)
-
 
 def _arrays(column: pa.Array, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(b, dtype=kind) for b in column.to_pylist()]
 
 
-def _held(kind: str, size: int):
-    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(token, n): how many of a task's documents hold each token."""
-        total = np.zeros(size, dtype=np.int64)
-        for batch in batches:
-            for tokens in _arrays(batch.column(0), kind):
-                total[np.unique(tokens[:-1])] += 1
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["token", "n"])
-
-    return held
-
-
-def _keyed(block, kind: str, size: int):
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(key, size) summed over a task's documents."""
-        weights, total = built(block, Weights), np.zeros(size + 1, dtype=np.int64)
-        for batch in batches:
-            for tokens in _arrays(batch.column(0), kind):
-                total[weights.key(tokens)] += len(tokens) + ROW_TOKENS
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["key", "size"])
-
-    return keyed
-
-
-def shards_of(sizes: list[tuple[int, int]], keys: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """First shard and number of shards of every key, from (key, size) in order of keys."""
-    first, parts = np.zeros(keys, dtype=np.int64), np.ones(keys, dtype=np.int64)
-    shard, used = 0, 0
+def shards_of(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, int, int]]:
+    """(key, first shard, number of shards) from (key, size) in order of keys."""
+    out, shard, used = [], 0, 0
     for key, size in sizes:
         if used and used + size > most:
             shard, used = shard + 1, 0
-        first[key], parts[key] = shard, max(1, -(-size // most))
+        parts = max(1, -(-size // most))
+        out.append((key, shard, parts))
         used += size
-        if parts[key] > 1:
-            shard, used = shard + int(parts[key]), 0
-    return first, parts
+        if parts > 1:
+            shard, used = shard + parts, 0
+    return out
 
 
 def fill(rests: list[int], neighbours, window: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -184,17 +177,15 @@ def fill(rests: list[int], neighbours, window: int) -> Iterator[list[tuple[int,
         pieces = [take(seed, window)]
         gap = window - pieces[0][2]
         if gap:
-            best = -1  # the best neighbour that doesn't fit
-            for i in neighbours(seed, unused).tolist():
-                if left[i] <= gap:
-                    pieces.append(take(i, gap))
-                    gap -= pieces[-1][2]
-                    if not gap:
-                        break
-                elif best < 0:
-                    best = i
-            if gap and best >= 0:
-                pieces.append(take(best, gap))
+            found = neighbours(seed, unused)
+            sizes, low = left[found], 0
+            while gap and len(fits := np.flatnonzero(sizes[low:] <= gap)):
+                low += int(fits[0])
+                pieces.append(take(int(found[low]), gap))
+                gap -= pieces[-1][2]
+                low += 1
+            if gap and len(longer := found[unused[found]]):  # none of these fits: the best is cut
+                pieces.append(take(int(longer[0]), gap))
                 gap = 0
         follows = at
         while gap and follows < len(order):  # no neighbour is left
@@ -301,23 +292,22 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     ship(spark)
     content, size = vocabulary(path)
     kind = "<u2" if size <= 1 << 16 else "<u4"
-    ids = written(tokenised(docs, content, kind, id_col, text_col, end))
-    rows, total = ids.agg(F.count("*"), F.sum("n")).first()
-    holders = np.zeros(size, dtype=np.int64)  # one row per token of the vocabulary comes to the driver
-    for token, n in ids.select("tokens").mapInArrow(_held(kind, size), "token int, n long").groupBy("token").agg(F.sum("n")).collect():
+    block = spark.sparkContext.broadcast(content)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    id_type = rows.schema["id"].dataType.simpleString()
+    both = written(rows.mapInArrow(_tokenised(block, kind, size, end), f"id {id_type}, n long, key int, tokens binary, holders binary"))
+    ids = both.filter("key IS NOT NULL").drop("holders")
+    count, total = ids.agg(F.count("*"), F.sum("n")).first()
+    holders = np.zeros(size, dtype=np.int64)  # one row per token of the vocabulary comes to the driver, and one per key
+    for token, n in both.select("holders").filter("holders IS NOT NULL").mapInArrow(_held, "token int, n long").groupBy("token").agg(F.sum("n")).collect():
         holders[token] = n
-    stats = spark.sparkContext.broadcast((holders, rows, (total or 0) / max(1, rows), end))
-    sizes = ids.select("tokens").mapInArrow(_keyed(stats, kind, size), "key int, size long").groupBy("key").agg(F.sum("size")).collect()
-    place = spark.sparkContext.broadcast(shards_of(sorted(map(tuple, sizes)), size + 1, shard_tokens))
-
-    @F.arrow_udf("long")
-    def shard_of(tokens: pa.Array, spread: pa.Array) -> pa.Array:
-        weights, (first, parts) = built(stats, Weights), place.value
-        keys = np.array([weights.key(t) for t in _arrays(tokens, kind)], dtype=np.int64)
-        return pa.array(first[keys] + spread.to_numpy(zero_copy_only=False) % parts[keys])
-
-    spread = F.xxhash64("id", "tokens").bitwiseAND(F.lit((1 << 62) - 1))
-    dealt = ids.select(shard_of("tokens", spread).alias("shard"), "id", "tokens")
-    by_shard = dealt.repartition("shard").sortWithinPartitions("shard", F.xxhash64("id", "tokens"), "id", "tokens")
-    schema = (f"id {ids.schema['id'].dataType.simpleString()}, start long, length long, doc_tokens long, sequence_id long, offset long, tokens binary")
+    stats = spark.sparkContext.broadcast((holders, count, (total or 0) / max(1, count), end))
+    sizes = ids.groupBy("key").agg(F.sum(F.col("n") + ROW_TOKENS)).collect()
+    shards = shards_of(sorted(map(tuple, sizes)), shard_tokens)
+    count_of = sum(shards[-1][1:]) if shards else 1
+    place = F.broadcast(spark.createDataFrame(shards, "key int, first long, parts long"))
+    spread = F.xxhash64("id", "tokens")
+    dealt = ids.join(place, "key").select((F.col("first") + F.pmod(spread, F.col("parts"))).alias("shard"), spread.alias("spread"), "id", "tokens")
+    by_shard = dealt.repartition(-(-count_of // SHARDS_PER_TASK), "shard").sortWithinPartitions("shard", "spread", "id", "tokens").drop("spread")
+    schema = f"id {id_type}, start long, length long, doc_tokens long, sequence_id long, offset long, tokens binary"
     return by_shard.mapInArrow(_packed(stats, kind, window), schema).withColumnRenamed("id", id_col)

@@ -71,8 +71,8 @@ def test_a_hot_key_is_dealt_over_shards(spark, library):
 
 
 def test_shards_take_keys_in_order():
-    first, parts = packing.shards_of([(0, 5), (2, 6), (3, 25), (4, 1), (5, 9)], 6, 10)
-    assert first.tolist() == [0, 0, 1, 2, 5, 5] and parts.tolist() == [1, 1, 1, 3, 1, 1]
+    found = packing.shards_of([(0, 5), (2, 6), (3, 25), (4, 1), (5, 9)], 10)
+    assert found == [(0, 0, 1), (2, 1, 1), (3, 2, 3), (4, 5, 1), (5, 5, 1)]
 
 
 def brute_scores(docs, stats, seed, most):
