@@ -17,8 +17,10 @@ import json
 import os
 import re
 import unicodedata
+from array import array
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,7 +63,8 @@ def byte_letters() -> list[str]:
 class Codec:
     """Encoder and decoder of one vocabulary file (JSON of a BPE model with an end mark of words)."""
 
-    def __init__(self, content: str):
+    def __init__(self, content: str, cached_words: int | None = None):
+        self.most = cached_words or CACHED_WORDS
         spec = json.loads(content)
         model = spec["model"]
         self.end = model["end_of_word_suffix"] or ""
@@ -79,8 +82,8 @@ class Codec:
         self.inner = [self.ids[c] for c in letters]
         self.last = [self.ids[c + self.end] for c in letters]
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.words: dict[str, tuple[list[int], str, str]] = {}
-        self.older: dict[str, tuple[list[int], str, str]] = {}  # the words before these: two generations
+        self.words: dict[str, tuple[bytes, str, str]] = {}
+        self.older: dict[str, tuple[bytes, str, str]] = {}  # the words before these: two generations
 
     def merge(self, word: str) -> list[int]:
         """Token ids of one word."""
@@ -116,19 +119,19 @@ class Codec:
                     heappush(queue, r * n + h)
         return [s for s in symbols if s >= 0]
 
-    def word(self, word: str) -> tuple[list[int], str, str]:
-        """A word's ids, their decimal numbers and their strings, both joined by spaces."""
+    def word(self, word: str) -> tuple[bytes, str, str]:
+        """A word's ids (4 bytes each), their decimal numbers and their strings, both joined by spaces."""
         found = self.older.get(word)
         if found is None:
             ids = self.merge(word)
             strings = self.strings
-            found = (ids, " ".join(map(str, ids)), " ".join([strings[i] for i in ids]))
-        if len(self.words) >= CACHED_WORDS:
+            found = (array("i", ids).tobytes(), " ".join(map(str, ids)), " ".join([strings[i] for i in ids]))
+        if len(self.words) >= self.most:
             self.words, self.older = {}, self.words
         self.words[word] = found
         return found
 
-    def pieces(self, text: str) -> list[tuple[list[int], str, str]]:
+    def pieces(self, text: str) -> list[tuple[bytes, str, str]]:
         """The words of a text in order, each with its ids, numbers and strings."""
         out = []
         at = 0
@@ -136,12 +139,12 @@ class Codec:
             for m in self.cut.finditer(text):
                 out += self._plain(text[at:m.start()])
                 i = self.special[m.group()]
-                out.append(([i], str(i), m.group()))
+                out.append((array("i", [i]).tobytes(), str(i), m.group()))
                 at = m.end()
         out += self._plain(text[at:] if at else text)
         return out
 
-    def _plain(self, text: str) -> list[tuple[list[int], str, str]]:
+    def _plain(self, text: str) -> list[tuple[bytes, str, str]]:
         if not text.isascii():
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
@@ -156,7 +159,7 @@ class Codec:
         return [words.get(w) or make(w) for w in _LATIN_WORDS.findall(text)]
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _, _ in self.pieces(text) for i in ids]
+        return array("i", b"".join([p[0] for p in self.pieces(text)])).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """Vocabulary strings, special ones too, joined by single spaces; unknown ids are left out."""
@@ -210,7 +213,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         out: dict[str, list] = {k: [] for k in _DIGEST}
         for text in texts.to_pylist():
             pieces = codec.pieces(text or "")
-            out["n_tokens"].append(sum([len(p[0]) for p in pieces]))
+            out["n_tokens"].append(sum([len(p[0]) for p in pieces]) // 4)
             out["ids_sha256"].append(hashlib.sha256(" ".join([p[1] for p in pieces]).encode()).hexdigest())
             out["decoded_sha256"].append(hashlib.sha256(" ".join([p[2] for p in pieces]).encode()).hexdigest())
         return structs(_DIGEST, out)
@@ -219,18 +222,28 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             .select(id_col, "digest.*"))
 
 
-def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the id, ``n_tokens``, ``ids`` and ``decoded_sha256``, as in ``round_trip``."""
+def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+              cached_words: int | None = None) -> DataFrame:
+    """One row per row of ``docs``: the id, ``n_tokens``, ``ids`` and ``decoded_sha256``, as in ``round_trip``.
+
+    A worker keeps fewer words than for ``round_trip``, as it holds a batch's ids too.
+    """
     block = load(docs.sparkSession, path)
 
+    def codec_of(content: str) -> Codec:
+        return Codec(content, cached_words or CACHED_WORDS // 2)
+
     @F.arrow_udf("struct<ids array<int>, decoded_sha256 string>")
     def run(texts: pa.Array) -> pa.Array:
-        codec = built(block, Codec)
+        codec = built(block, codec_of)
         ids, digests = [], []
-        for text in texts.to_pylist():
-            ids.append(codec.encode(text or ""))
-            digests.append(hashlib.sha256(codec.decode(ids[-1]).encode()).hexdigest())
-        return structs({"ids": pa.list_(pa.int32()), "decoded_sha256": pa.string()}, {"ids": ids, "decoded_sha256": digests})
+        for text in texts:
+            pieces = codec.pieces(text.as_py() or "")
+            ids.append(b"".join([p[0] for p in pieces]))
+            digests.append(hashlib.sha256(" ".join([p[2] for p in pieces]).encode()).hexdigest())
+        offsets = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)))
+        return pa.StructArray.from_arrays([lists, pa.array(digests, pa.string())], names=["ids", "decoded_sha256"])
 
     out = docs.select(F.col(f"`{id_col}`").alias(id_col), run(F.col(f"`{text_col}`")).alias("t"))
     return out.select(id_col, F.size("t.ids").cast("long").alias("n_tokens"), "t.ids", "t.decoded_sha256")

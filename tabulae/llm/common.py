@@ -2,6 +2,8 @@
 tables cut from their lineage, and Arrow columns of UTF-8 bytes."""
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -21,7 +23,7 @@ SPACED_BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for
 
 #: Bytes of an Arrow batch, where the session has left Spark's default: a worker holds a batch of texts several times
 #: over (bytes, strings, results).
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -104,10 +106,20 @@ def built(block, make):
     key = (make.__qualname__, id(value))
     if key not in _BUILT:
         _BUILT.clear()
+        released()
         _BUILT[key] = (value, make(value))  # holding the value keeps its id from being used again
     return _BUILT[key][1]
 
 
+def released() -> None:
+    """Give memory that an earlier operator used in this worker back to the system, where the platform can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def blocks_of(rows: DataFrame, size: Column, limit: int):
     """The rows of a reference table in lists of at most ``limit`` bytes (one row at least), one list at a time.
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulae.llm.common import SPACED_BYTES, blobs, discard, free_name, ship, utf8, written
+from tabulae.llm.common import SPACED_BYTES, blobs, discard, free_name, released, ship, utf8, written
 from tabulae.llm.components import components
 
 #: Unless a caller says otherwise.
@@ -152,6 +152,7 @@ def _sign(words: int, bands: int, rows: int):
                         [pa.array(ids[start:i + 1], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
                          pa.array(digests, pa.binary()), flat, bits], names=["id", "n", "digest", "bands", "bits"])
                     start, total, sets, digests = i + 1, 0, [], []
+        released()
 
     return sign
 
