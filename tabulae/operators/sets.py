@@ -6,6 +6,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulae.sources.shared import written
+
 
 def split_periods(df: DataFrame, period: str, train: Sequence[str], valid: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Train / validation split by period (F4); a filter on a partition column prunes files."""
@@ -23,11 +25,12 @@ def guard_periods(df: DataFrame, period: str, allowed: Sequence[str], what: str
 
     The message has the number of offending labels and up to 20 of them.
     """
-    labels = periods_outside(df, period, allowed).select(F.col(period).cast("string").alias("label"))
-    found = labels.agg(F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.collect_set(F.coalesce("label", F.lit("NULL")))), 1, 20).alias("some")).first()
-    if found["n"]:
-        more = "" if found["n"] <= len(found["some"]) else f" and {found['n'] - len(found['some'])} more"
-        raise ValueError(f"{what} may only contain {sorted(allowed)}; found also {found['n']}: {list(found['some'])}{more}")
+    labels = written(periods_outside(df, period, allowed).select(F.coalesce(F.col(period).cast("string"), F.lit("NULL")).alias("label")))
+    n = labels.count()
+    if n:
+        some = [r["label"] for r in labels.orderBy("label").limit(20).collect()]
+        more = "" if n <= len(some) else f" and {n - len(some)} more"
+        raise ValueError(f"{what} may only contain {sorted(allowed)}; found also {n}: {some}{more}")
 
 
 def unseen_categories(train: DataFrame, test: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -202,18 +202,18 @@ def q_top_k(spark, sf_dir):
 
 @query("sample_rows")
 def q_sample_rows(spark, sf_dir):
-    """Seeded Bernoulli sample of up to 500 records (sampling is the feature)."""
-    return X.sample_rows(records(spark, sf_dir).select("l_orderkey", "l_linenumber", TARGET), 500, 42)
+    """Seeded random sample of up to 5,000 records (sampling is the feature)."""
+    return X.sample_rows(records(spark, sf_dir).select("l_orderkey", "l_linenumber", TARGET), 5000, 42)
 
 
 @query("hash_sample", RECORDS_SQL + """
   SELECT l_orderkey, l_linenumber, l_extendedprice FROM r
   ORDER BY md5(concat_ws('|', '42', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR))),
-           l_orderkey, l_linenumber, l_partkey LIMIT 500""")
+           l_orderkey, l_linenumber, l_partkey LIMIT 5000""")
 def q_hash_sample(spark, sf_dir):
-    """Layout-independent sample of 500 records by seeded key hash (sampling is the feature)."""
+    """Layout-independent sample of 5,000 records by seeded key hash (sampling is the feature)."""
     r = records(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", TARGET)
-    return X.hash_sample(r, 500, ["l_orderkey", "l_linenumber", "l_partkey"], 42).drop("l_partkey")
+    return X.hash_sample(r, 5000, ["l_orderkey", "l_linenumber", "l_partkey"], 42).drop("l_partkey")
 
 
 # --------------------------------------------------------------------------- distributed exact quantiles

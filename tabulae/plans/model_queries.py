@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from tabulae.operators import evaluate as E
 from tabulae.operators import features as FE
+from tabulae.operators import gram as GR
 from tabulae.operators import models as M
 from tabulae.plans.explore_queries import RECORDS_SQL
 from tabulae.plans.quality_queries import PRIORITIES_OK
 from tabulae.plans.registry import query, round_doubles, rsql
 from tabulae.plans.tables import records
+from tabulae.sources import io as IO
+from tabulae.sources.shared import shared_folder
 
 LABEL = "l_extendedprice"
 NUMERICS = ["l_quantity", "l_discount", "l_tax"]
@@ -388,10 +391,11 @@ FOREST_GRID = {"trees_10_depth_3": {"num_trees": 10, "max_depth": 3}, "trees_10_
 
 
 def _grid(spark, sf_dir, kind: str):
+    """(table, fits by name): linear models from one set of cross products, forests by the fit loop."""
     train, valid, _ = _splits(spark, sf_dir)
-    make = M.linear_regressor if kind == "linear" else M.forest_regressor
-    return M.grid_search(train, valid, NUMERICS, CATEGORICALS, LABEL,
-                         LINEAR_GRID if kind == "linear" else FOREST_GRID, make)
+    if kind == "linear":
+        return GR.linear_grid(train, valid, NUMERICS, CATEGORICALS, LABEL, LINEAR_GRID)
+    return M.grid_search(train, valid, NUMERICS, CATEGORICALS, LABEL, FOREST_GRID, M.forest_regressor)
 
 
 @query("linear_grid")
@@ -434,7 +438,14 @@ def q_importance_by_predictor(spark, sf_dir):
 def q_coefficient_ranges(spark, sf_dir):
     """Coefficients of the full-design linear model and their range per categorical."""
     table, models = _grid(spark, sf_dir, "linear")
-    return M.coefficient_ranges(M.coefficients(models["ridge_1"], NUMERICS))
+    return M.coefficient_ranges(GR.coefficient_table(models["ridge_1"], table))
+
+
+def _stored_choice(spark, table) -> dict:
+    """Parameters of the best configuration, as read back from the stored grid."""
+    path = shared_folder(spark)
+    IO.write_results(table, path, ("selected", "config", M.choose_best(table).first()["config"]))
+    return IO.chosen_parameters(spark, path, GR.GRID_SCHEMA + ", selected boolean")
 
 
 @query("final_scoring")
@@ -442,7 +453,7 @@ def q_final_scoring(spark, sf_dir):
     """The chosen configuration of each grid, refitted on 1995-2000 behind the leakage guard, scores 2001."""
     train, valid, test = _splits(spark, sf_dir)
     dev = train.unionByName(valid)
-    linear, forest = (M.choose_best(_grid(spark, sf_dir, kind)[0]).first()["params"] for kind in ("linear", "forest"))
+    linear, forest = (_stored_choice(spark, _grid(spark, sf_dir, kind)[0]) for kind in ("linear", "forest"))
     models = M.fit_final(dev, "period", DEV_PERIODS, {
         "linear": M.linear_pipeline(NUMERICS, CATEGORICALS, LABEL, linear["reg_param"], linear["elastic_net"]),
         "forest": M.forest_pipeline(NUMERICS, CATEGORICALS, LABEL, int(forest["num_trees"]), int(forest["max_depth"]))})
@@ -482,13 +493,13 @@ def q_subset_summary(spark, sf_dir):
   SELECT l_orderkey, l_linenumber, l_extendedprice, o_orderpriority, l_returnflag, {rsql('pred_baseline', 4)} AS pred_baseline,
          {rsql('pred_ols', 4)} AS pred_ols, {rsql('residual_baseline', 4)} AS residual_baseline, {rsql('residual_ols', 4)} AS residual_ols
   FROM p ORDER BY md5(concat_ws('|', '42', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR))),
-                  l_orderkey, l_linenumber, l_partkey LIMIT 500""")
+                  l_orderkey, l_linenumber, l_partkey LIMIT 5000""")
 def q_common_sample(spark, sf_dir):
-    """One common sample of 500 scored rows with every model's prediction and residual."""
+    """One common sample of 5,000 scored rows with every model's prediction and residual."""
     from tabulae.operators.explore import hash_sample
     p = scored(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", LABEL, *CATEGORICALS, "pred_baseline", "pred_ols",
                                      "residual_baseline", "residual_ols")
-    return round_doubles(hash_sample(p, 500, ["l_orderkey", "l_linenumber", "l_partkey"], 42).drop("l_partkey"), 4, skip=(LABEL,))
+    return round_doubles(hash_sample(p, 5000, ["l_orderkey", "l_linenumber", "l_partkey"], 42).drop("l_partkey"), 4, skip=(LABEL,))
 
 
 @query("importance_shares")

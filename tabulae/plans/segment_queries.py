@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tabulae.functions import log10_positive
 from tabulae.operators import explore as X
+from tabulae.operators import lloyd as L
 from tabulae.operators import segment as G
 from tabulae.plans.explore_queries import RECORDS_SQL
 from tabulae.plans.registry import query, round_doubles, rsql, sround
@@ -142,16 +143,21 @@ def _grid(spark, sf_dir, variables=VARS, frame=None):
     return G.evaluate_k(df, variables, KS, seed=42)
 
 
+def _rounds(spark, sf_dir):
+    r = records(spark, sf_dir)
+    return L.grid_table(r, L.fit(r, VARS, {k: L.spaced_centres(VARS, k) for k in KS}))
+
+
 @query("kmeans_grid")
 def q_kmeans_grid(spark, sf_dir):
-    """KMeans for k = 2..5 on standardised measures: silhouette, WSSSE, sizes, reduction."""
-    return _grid(spark, sf_dir)[0]
+    """KMeans for k = 2..5 on standardised measures: silhouette, WSSSE, sizes, reduction; every k in the same rounds."""
+    return _rounds(spark, sf_dir)
 
 
 @query("choose_k")
 def q_choose_k(spark, sf_dir):
     """K chosen by the elbow rule (fallback: best silhouette)."""
-    return G.choose_k(_grid(spark, sf_dir)[0])
+    return G.choose_k(_rounds(spark, sf_dir))
 
 
 @query("cluster_names")
@@ -174,11 +180,11 @@ def q_kmeans_profile(spark, sf_dir):
 
 @query("pca_projection")
 def q_pca_projection(spark, sf_dir):
-    """Sample of 500 records projected on the first two principal components with their cluster."""
+    """Sample of 5,000 records projected on the first two principal components with their cluster."""
     table, models = _grid(spark, sf_dir)
     k = G.choose_k(table).first()["k"]
     pred = models[k].transform(records(spark, sf_dir))
-    return G.pca_projection(pred, G.pca(pred), ["cluster", *VARS, TARGET], 500, ["l_orderkey", "l_linenumber"])
+    return G.pca_projection(pred, G.pca(pred), ["cluster", *VARS, TARGET], 5000, ["l_orderkey", "l_linenumber"])
 
 
 @query("contrast_specs")

@@ -12,6 +12,7 @@ from urllib.parse import quote
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabulae.operators.harmonise import add_provenance, harmonise, select_required, stack_by_name
 
@@ -116,21 +117,39 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _nested(kind) -> bool:
+    return isinstance(kind, (T.MapType, T.ArrayType, T.StructType))
+
+
 def write_results(df: DataFrame, path: str, flag: tuple[str, str, object] | None = None) -> str:
     """Write a (small) result table as CSV with header; optional selection flag column.
 
-    ``flag=(name, column, value)`` adds ``name = (column == value)``.
+    ``flag=(name, column, value)`` adds ``name = (column == value)``.  Maps, arrays and structs
+    are written as JSON text, so that a grid's parameters stay beside its metrics.
     """
     if flag:
         name, column, value = flag
-        df = df.withColumn(name, F.col(column) == F.lit(value))
-    df.write.mode("overwrite").option("header", "true").csv(path)
+        df = df.withColumn(name, F.col(f"`{column}`").eqNullSafe(F.lit(value)))
+    flat = df.select(*[(F.to_json(F.col(f"`{f.name}`")) if _nested(f.dataType) else F.col(f"`{f.name}`")).alias(f.name) for f in df.schema.fields])
+    flat.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
     return path
 
 
 def read_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Read a result CSV back with an explicit schema."""
-    return spark.read.option("header", "true").schema(schema).csv(path)
+    """Read a result CSV back with an explicit schema (S11); columns of a nested type come from their JSON text."""
+    wanted = T.StructType.fromDDL(schema)
+    text = T.StructType([T.StructField(f.name, T.StringType() if _nested(f.dataType) else f.dataType) for f in wanted.fields])
+    found = spark.read.option("header", "true").option("escape", '"').schema(text).csv(path)
+    return found.select(*[(F.from_json(F.col(f"`{f.name}`"), f.dataType) if _nested(f.dataType) else F.col(f"`{f.name}`")).alias(f.name)
+                          for f in wanted.fields])
+
+
+def chosen_parameters(spark: SparkSession, path: str, schema: str, flag: str = "selected") -> dict[str, float]:
+    """The parameters of the configuration that a stored grid marks as chosen."""
+    found = read_results(spark, path, schema).filter(F.col(f"`{flag}`")).limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{path} marks {'no' if not found else 'more than one'} configuration as {flag}")
+    return dict(found[0]["params"])
 
 
 def save_model(model: PipelineModel, path: str) -> str:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabulae.operators import harmonise as H
-from tabulae.sources import delivery_path, load_delivery, read_text, typed_table, write_results, read_results
+from tabulae.sources import delivery_path, load_delivery, read_text, typed_table, write_results, chosen_parameters, read_results
 from tabulae.streaming import read_typed, stream_deliveries
 
 REQUIRED = ["SALARY", "AGE", "LEVEL", "HH", "PERIOD_RAW"]
@@ -89,6 +89,22 @@ def test_results_round_trip(spark, scratch):
     assert {r.config: r.selected for r in back.collect()} == {"a": False, "b": True}
 
 
+def test_grid_tables_keep_their_parameters(spark, scratch):
+    """Maps, arrays and structs, odd text and a NULL configuration come back as they were written."""
+    schema = "position int, config string, params map<string,double>, sizes array<bigint>, best struct<a:int,b:string>"
+    rows = [(0, 'a "b", c', {"reg_param": 0.1, "elastic_net": 0.0}, [1, 2], (1, 'x "y"')), (1, None, {}, [], (None, "z, \\ w")), (2, "c", None, None, None)]
+    t = spark.createDataFrame(rows, schema)
+    path = write_results(t, os.path.join(scratch, "grid"), ("selected", "config", 'a "b", c'))
+    back = read_results(spark, path, schema + ", selected boolean").orderBy("position").collect()
+    assert [tuple(r[:3]) for r in back] == [tuple(r[:3]) for r in rows] and [r.sizes for r in back] == [r[3] for r in rows]
+    assert back[0].best == (1, 'x "y"') and back[1].best.b == "z, \\ w" and back[2].best is None
+    assert [r.selected for r in back] == [True, False, False]
+    assert chosen_parameters(spark, path, schema + ", selected boolean") == {"reg_param": 0.1, "elastic_net": 0.0}
+    nobody = write_results(t, os.path.join(scratch, "none"), ("selected", "config", "absent"))
+    with pytest.raises(ValueError):
+        chosen_parameters(spark, nobody, schema + ", selected boolean")
+
+
 def test_header_drift(spark):
     t = H.header_drift(spark, {"d1": ["a", "b", "c"], "d2": ["c", "b", "a", "z"]}, ["A", "B", "C"], "d1")
     r = {x.delivery: x for x in t.collect()}
