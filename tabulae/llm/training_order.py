@@ -10,6 +10,9 @@ one shard of fixed-stride records, so that slot ``s`` of a shard is read at ``s
 A first pass only counts the tokens of every input partition; the counts (one number per
 partition) give the second pass its first sequence number.  A partition whose second count
 differs stops the job, so a layout that changes in between is noticed.  Tokens are moved once.
+Documents are laid end to end as the input's partitions hold them: the layout counts, and the
+same rows in other partitions give other sequences (a caller who wants one order whatever the
+layout sorts the documents first).
 
 A record is the slot (8 bytes), the tokens (2 bytes each, all little endian; 65535 after the
 end of the last sequence) and the mark ``SEQ`` and a line feed, which is the line separator
@@ -216,7 +219,10 @@ def read(spark: SparkSession, path: str, layout: dict[str, int], first: int = 0,
 
 def ordered_digest(docs: DataFrame, vocabulary: str, text_col: str = "text", length: int = LENGTH, key: int = 1) -> DataFrame:
     """Write the shards to a folder that all machines share and read them back: one row per slot with its shard,
-    place, sequence number, number of tokens and the CRC-32 of its tokens' bytes."""
+    place, sequence number, number of tokens and the CRC-32 of its tokens' bytes.
+
+    Nulls, empty and repeated texts are as in ``materialise``; an empty table gives an empty one.
+    """
     spark = docs.sparkSession
     path = shared_folder(spark)
     layout = materialise(docs, path, vocabulary, text_col, length, key)

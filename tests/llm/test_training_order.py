@@ -52,3 +52,11 @@ def test_digest_of_odd_and_empty_tables(spark, odd, none):
     rows = o.ordered_digest(odd, PATH).collect()
     assert sorted(r.slot for r in rows) == list(range(len(rows))) and sum(r.n_tokens for r in rows) == len(stream([r.text for r in odd.collect()]))
     assert o.ordered_digest(none, PATH).count() == 0
+
+
+def test_the_layout_of_the_input_counts(spark):
+    """One layout gives the same slots again; the same rows in another order give other sequences of the same tokens."""
+    rows = [(str(i) * (i % 50 + 1),) for i in range(300)]
+    digest = lambda r: sorted(map(tuple, o.ordered_digest(spark.createDataFrame(r, "text string").coalesce(1), PATH, length=64).collect()))
+    assert digest(rows) == digest(rows) != digest(rows[::-1])
+    assert sum(r[4] for r in digest(rows)) == sum(r[4] for r in digest(rows[::-1])) == len(stream([t for t, in rows]))
