@@ -2,8 +2,9 @@
 
 Log probabilities of four sources add up for every language and for ``und`` (none of them):
 
-* the text: a naive Bayes model of letter trigrams, fitted on at most ``TRAIN_ROWS`` labelled
-  documents; its weight levels off with the length, as neighbouring trigrams aren't independent;
+* the text: a naive Bayes model of letter trigrams, fitted on a bounded sample of labelled documents
+  that every language has an equal share of, so a rare one stays a class at every size; its weight
+  levels off with the length, as neighbouring trigrams aren't independent;
 * the declared language of the markup (or a column) and the language that the address suggests
   (the suffix of the host, or a first path part), each by how often a text of the language
   comes with such a declaration, counted over all rows;
@@ -22,13 +23,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulae.llm.common import built, free_name, ship, written
 
-#: Labelled rows and trigrams that the text model is fitted on at most.
+#: Labelled rows and trigrams that the text model is fitted on, shared out evenly among the languages; the least share.
 TRAIN_ROWS, TRIGRAMS = 4000, 60_000
+LEAST_ROWS, LEAST_TRIGRAMS = 200, 300
 #: Trigrams at which the text's weight has levelled off to a half; rows' worth of a mix's smoothing.
 LEVEL_OFF, SMOOTHING = 300, 5.0
 UNKNOWN = "und"
@@ -39,9 +41,13 @@ CACHED_WORDS = 100_000
 SUFFIXES = {"at": "de", "au": "en", "cl": "es", "co": "es", "de": "de", "es": "es", "fr": "fr", "ie": "en", "it": "it",
             "mx": "es", "nl": "nl", "nz": "en", "pl": "pl", "pt": "pt", "uk": "en", "us": "en"}
 _LETTERS = re.compile(r"[^\W\d_]+")
-_HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>")
-_DECLARED = re.compile(r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?([a-z]{2,3})\b""")
-_META = re.compile(r"""(?is)<meta\b[^>]*?content-language[^>]*?content\s*=\s*["']?([a-z]{2,3})\b""")
+_BLOCK = re.compile(r"(?i)<(script|style)\b")
+_BLOCK_END = {k: re.compile(rf"(?i)</{k}\s*>") for k in ("script", "style")}
+_BODY = re.compile(r"(?i)<body\b")
+_HTML, _META = re.compile(r"(?i)<html\b"), re.compile(r"(?i)<meta\b")
+_LANG = re.compile(r"""(?i)\blang\s*=\s*["']?([a-z]{2,3})\b""")
+_ABOUT_LANGUAGE = re.compile(r"(?i)content-language")
+_CONTENT = re.compile(r"""(?i)\bcontent\s*=\s*["']?([a-z]{2,3})\b""")
 
 
 @dataclass
@@ -106,15 +112,25 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         rows: int = TRAIN_ROWS, trigrams: int = TRIGRAMS) -> TextModel:
-    """The text model of labelled documents, from at most ``rows`` of them (the smallest by a hash of the id)."""
+    """The text model of labelled documents, from about ``rows`` of them (at least ``LEAST_ROWS`` of a language).
+
+    Every language has the same share of the rows (those with the smallest hashes of the id) and
+    of the ``trigrams`` (its most frequent ones).
+    """
     ship(docs.sparkSession)
     lang, key = F.lower(F.col(f"`{lang_col}`")), F.col(f"`{id_col}`")
-    known = docs.filter(lang.rlike("^[a-z]{2,3}$") & (lang != UNKNOWN) & F.col(f"`{text_col}`").isNotNull())
-    some = known.select(F.xxhash64(key).alias("h")).distinct().orderBy("h").limit(rows)  # the documented bound
-    sample = known.withColumn("h", F.xxhash64(key)).join(F.broadcast(some), "h").select(
-        lang.alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    counts = (sample.mapInArrow(_trigrams, "lang string, trigram string, n long").groupBy("lang", "trigram")
-              .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang", "trigram").limit(trigrams).collect())
+    known = docs.filter(lang.rlike("^[a-z]{2,3}$") & (lang != UNKNOWN) & F.col(f"`{text_col}`").isNotNull()).select(
+        lang.alias("lang"), F.xxhash64(key).alias("h"), F.col(f"`{text_col}`").alias("text"))
+    labelled = max(1, known.select("lang").distinct().count())  # codes of two or three letters
+    most = max(LEAST_ROWS, rows // labelled)
+    order = Window.partitionBy("lang").orderBy("h")
+    ends = (known.select("lang", "h").distinct().withColumn("at", F.row_number().over(order)).filter(F.col("at") <= most)
+            .groupBy("lang").agg(F.max("h").alias("end")))
+    sample = known.join(F.broadcast(ends), "lang").filter("h <= end").select("lang", "text")
+    counts = sample.mapInArrow(_trigrams, "lang string, trigram string, n long").groupBy("lang", "trigram").agg(F.sum("n").alias("n"))
+    often = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "trigram"))
+    counts = counts.withColumn("at", often).filter(F.col("at") <= max(LEAST_TRIGRAMS, trigrams // labelled))
+    counts = counts.orderBy(F.desc("n"), "lang", "trigram").collect()
     languages = sorted({r["lang"] for r in counts})
     at = {t: i for i, t in enumerate(dict.fromkeys(r["trigram"] for r in counts))}
     n = np.full((len(at) + 1, len(languages)), 0.1)
@@ -125,14 +141,56 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def visible(page: str) -> str:
-    """The text of a page without scripts, styles, comments and tags."""
-    return entities.unescape(_HIDDEN.sub(" ", page))
+    """The text of a page without scripts, styles, comments and tags.
+
+    One scan forward: a mark that isn't closed hides nothing but its own tag, a tag that isn't closed
+    is text, and what isn't found once isn't looked for again.
+    """
+    out, at, missing = [], 0, set()
+
+    def after(mark: str, start: int) -> int:
+        """The place behind the next ``mark``, or -1."""
+        if mark in missing:
+            return -1
+        if mark in _BLOCK_END:
+            m = _BLOCK_END[mark].search(page, start)
+            end = m.end() if m else -1
+        else:
+            end = page.find(mark, start)
+            end = end + len(mark) if end >= 0 else -1
+        if end < 0:
+            missing.add(mark)
+        return end
+
+    while (start := page.find("<", at)) >= 0:
+        end = after("-->", start + 4) if page.startswith("<!--", start) else -1
+        if end < 0 and (m := _BLOCK.match(page, start)):
+            end = after(m.group(1).lower(), m.end())
+        if end < 0:
+            end = after(">", start)
+        if end < 0:
+            break
+        out.append(page[at:start])
+        at = end
+    out.append(page[at:])
+    return entities.unescape(" ".join(out))
 
 
 def declared(page: str) -> str | None:
-    head = page[:page.find("<body")] if "<body" in page else page
-    m = _DECLARED.search(head) or _META.search(head)
-    return m.group(1).lower() if m else None
+    """The language that the ``html`` tag or a ``content-language`` declares ahead of the body, in lower case."""
+    body = _BODY.search(page)
+    head = page[:body.start()] if body else page
+
+    def tags(begin: re.Pattern) -> Iterator[str]:
+        at = 0
+        while m := begin.search(head, at):
+            at = head.find(">", m.end())
+            at = len(head) if at < 0 else at
+            yield head[m.end():at]
+
+    found = [m for tag in tags(_HTML) if (m := _LANG.search(tag))]
+    found = found or [m for tag in tags(_META) if _ABOUT_LANGUAGE.search(tag) and (m := _CONTENT.search(tag))]
+    return found[0].group(1).lower() if found else None
 
 
 def read_texts(spark, model: TextModel, text: Column, markup: bool = False) -> Column:

@@ -30,9 +30,9 @@ from tabulae.llm.common import built, discard, free_name, ship, written
 
 #: Labelled rows that the fit reads at most, and patterns that it keeps at most.
 TRAIN_ROWS, PATTERNS = 10_000, 1000
-#: A pattern must fire on so many toxic texts, on this share of them, and on toxic texts so many times as often as on
-#: others, by the lower bound of the ratio's confidence interval (this many standard errors).
-SUPPORT, SHARE, RATIO, ERRORS = 3, 0.02, 4.0, 2.0
+#: A pattern must fire on so many toxic texts, and on toxic texts so many times as often as on others, by the lower bound
+#: of the ratio's confidence interval (this many standard errors; thousands of beginnings are tried, so chance finds some).
+SUPPORT, RATIO, ERRORS = 3, 4.0, 3.0
 #: Whole words of the fixed lexicon.
 LEXICON = ("bastard", "clown", "coward", "disgusting", "dumb", "fool", "freak", "garbage", "idiot", "imbecile", "jerk",
            "loser", "moron", "nasty", "pathetic", "pig", "scum", "shut up", "stupid", "trash", "ugly", "vermin", "worthless")
@@ -111,11 +111,15 @@ def held_out(id_col: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, rows: int) -> DataFrame:
-    """At most ``rows`` labelled texts (text, toxic) that are not held out, each different text once."""
+    """At most ``rows`` labelled texts (text, toxic) that are not held out, each different text once.
+
+    Of several labels of one id the majority counts, and 1 if there is none; equal texts have the
+    label of their smallest id.
+    """
     key = F.col(f"`{id_col}`")
     some = (labels.select(key.alias("id"), F.col("toxic").cast("int").alias("toxic"))
             .filter(F.col("toxic").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
-            .dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(rows))  # the documented bound
+            .groupBy("id").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(rows))  # the documented bound
     texts = docs.select(key.alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     return (texts.join(F.broadcast(some), "id").groupBy(F.md5(F.col("text").cast("binary")).alias("key"))
             .agg(F.min_by("text", "id").alias("text"), F.min_by("toxic", "id").alias("toxic")).drop("key"))
@@ -211,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     lift = F.log(toxic / (sums[1] + 1.0)) - F.log(other / (sums[0] - sums[1] + 1.0))
     found = (train.mapInArrow(_patterns, "term string, level int, toxic long, other long")
              .groupBy("term", "level").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-             .filter((F.col("toxic") >= max(SUPPORT, int(SHARE * sums[1])))
+             .filter((F.col("toxic") >= SUPPORT)
                      & (lift - ERRORS * F.sqrt(1 / toxic + 1 / other) >= F.log(F.lit(RATIO))))
              .orderBy(F.desc(F.col("toxic") * lift), "term", "level").limit(patterns).collect())
     terms = fixed + [(r["term"], r["level"]) for r in found]

@@ -1,4 +1,5 @@
 import math
+import time
 
 from tabulae.llm import language as g
 
@@ -90,3 +91,31 @@ def test_documents_in_a_known_language_stay(spark, odd, none):
     assert not {3, 4, 5, 9} & {r.doc_id for r in kept.collect()}  # no letters
     assert g.keep_known(none, model).count() == 0
     assert g.fit(none).languages == [] and g.keep_known(odd, g.fit(none)).count() == 0
+
+
+def test_broken_markup_takes_linear_time():
+    for mark in ("<script ", "<!-- ", "<meta ", "<html ", "<style>", "</script ", "<", "<meta content-language "):
+        page = mark * (1_000_000 // len(mark))
+        before = time.monotonic()
+        text, said = g.visible(page), g.declared(page)
+        assert time.monotonic() - before < 2 and said is None
+        assert ">" in mark or text == page
+
+
+def test_visible_text_and_declarations():
+    page = "a<!-- <p> -->b<SCRIPT x>if (1<2) {}</script >c<style>p</STYLE><p title='x'>d</p><!-- e <b>f&amp;<script>g"
+    assert g.visible(page).split() == ["a", "b", "c", "d", "f&", "g"]
+    assert g.visible("1 < 2") == "1 < 2" and g.visible("") == ""
+    assert g.declared('<HTML class=x LANG="De-AT"><body lang="fr">') == "de"
+    assert g.declared('<html><meta http-equiv="Content-Language" content="fr-CA">') == "fr"
+    assert g.declared('<meta content=\'nl\' http-equiv=content-language><BODY>') == "nl"
+    assert g.declared('<html><BODY><html lang="de">') is None and g.declared("") is None
+
+
+def test_a_rare_language_stays_a_class(spark):
+    common = spark.range(20_000).selectExpr("id AS doc_id", "'en' AS lang", f"'{TEXTS['en']}' AS text")
+    rare = spark.createDataFrame([(10**6 + i, "de", TEXTS["de"]) for i in range(2)], "doc_id long, lang string, text string")
+    model = g.fit(common.union(rare), rows=400)
+    assert model.languages == ["de", "en"]
+    logs, n = g.Reader(model).read(TEXTS["de"])
+    assert n and max(logs) == logs[0]
