@@ -1,15 +1,20 @@
-"""License scans: an index of the templates' word runs, then banded sequence alignment.
+"""License scans: an index of winnowed fingerprints of the templates, then banded sequence alignment.
 
 Templates and texts are compared as words (runs of ASCII letters and digits, lower case, and of
-non-ASCII characters).  Every run of ``GRAM`` words of a template is a fingerprint, of templates
-below ``SHORT`` words every run of ``SHORT_GRAM``; an inverted index leads from fingerprints to
-templates and places.  A text looks up all its runs.  A template of which a share ``COVERAGE`` of
-words is left, the others changed or dropped, keeps such a run wherever the changes are.  Hits of a template on neighbouring diagonals
+non-ASCII characters).  Templates are winnowed: of the hashes of all runs of ``GRAM`` words, every
+window keeps the least; an inverted index leads from these fingerprints to templates and places.
+A text looks up all its runs.  If a share ``COVERAGE`` of a template's words is left and the others
+are changed or dropped, some ``kept`` words are left in a row wherever the changes are: the window is
+as wide as still gives a fingerprint in any such row, and shorter runs of ``SHORT_GRAM`` words serve
+templates that guarantee less.  Words put in between count against this: with more changes, dropped
+and inserted places than a share 1 - ``COVERAGE`` of the words, or an insertion longer than the band
+beside what lies in it, a notice may stay unreported.  Hits of a template on neighbouring diagonals
 form a candidate; a local alignment in a band around them counts the template words that the
 text has and gives the span.  Candidates that cover at least ``COVERAGE`` of a template are reported.
 """
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -21,9 +26,8 @@ from pyspark.sql import functions as F
 from tabulae.llm.common import WORD_BYTES, blobs, built, ship, utf8
 from tabulae.llm.near_dup import mixed
 
-GRAM = 3
-#: Templates with fewer words have shorter runs.
-SHORT, SHORT_GRAM = 8, 2
+#: Words of a run, and of a run of templates whose kept rows may be shorter than that.
+GRAM, SHORT_GRAM = 3, 2
 #: Half the width of the band, in words (half a shorter template); diagonals closer than this are one candidate.
 BAND = 8
 COVERAGE = 0.8
@@ -83,12 +87,13 @@ def align(template: list[int], text: list[int], diagonal: int, band: int = BAND)
     """Best local alignment with (text place - template place) within ``band`` of ``diagonal``:
     number of equal words, first text place and the place after the last.
 
-    Equal words count 2, other pairs and gaps -1; ties go to a pair, then to a gap in the text.
+    Equal words count 2, other pairs and gaps -1; of equal values the one with more equal words
+    counts, then a pair before a gap in the text, then the first end.
     """
     width = 2 * band + 1
     # value, equal words and first text place of the best alignment that ends at each diagonal
     before = [(0, 0, -1)] * width
-    best, found = 0, (0, 0, 0)
+    best, found = (0, 0), (0, 0, 0)
     for i, word in enumerate(template):
         now: list[tuple[int, int, int]] = []
         for d in range(width):
@@ -99,33 +104,49 @@ def align(template: list[int], text: list[int], diagonal: int, band: int = BAND)
                 v, n, s = before[d]
                 if v + (2 if same else -1) > 0:
                     cell = (v + 2, n + 1, j if s < 0 else s) if same else (v - 1, n, s)
-                if d + 1 < width and before[d + 1][0] - 1 > cell[0]:
-                    cell = (before[d + 1][0] - 1, *before[d + 1][1:])
-                if d and now[-1][0] - 1 > cell[0]:
-                    cell = (now[-1][0] - 1, *now[-1][1:])
-                if cell[0] > best:
-                    best, found = cell[0], (cell[1], cell[2], j + 1)
+                if d + 1 < width and (gap := (before[d + 1][0] - 1, *before[d + 1][1:]))[:2] > cell[:2]:
+                    cell = gap
+                if d and (gap := (now[-1][0] - 1, *now[-1][1:]))[:2] > cell[:2]:
+                    cell = gap
+                if cell[:2] > best:
+                    best, found = cell[:2], (cell[1], cell[2], j + 1)
             now.append(cell)
         before = now
     return found
 
 
+def kept_row(size: int, coverage: float) -> int:
+    """Words that are left in a row at least if a share ``coverage`` of ``size`` words is left."""
+    left = math.ceil(coverage * size - 1e-9)
+    return -(-left // (size - left + 1))
+
+
+def winnowed(hashes: np.ndarray, window: int) -> np.ndarray:
+    """Places of the least hash of every ``window`` neighbouring ones (the last of equal ones); all of fewer hashes."""
+    if len(hashes) < window:
+        return np.arange(len(hashes))
+    views = np.lib.stride_tricks.sliding_window_view(hashes, window)
+    return np.unique(np.arange(len(views)) + window - 1 - views[:, ::-1].argmin(axis=1))
+
+
 class Index:
     """Fingerprints of the templates, and how to find them in texts."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
+        self.coverage = coverage
         self.names = sorted(templates)
         self.hashes: dict[bytes, int] = {}
         self.templates = [self.numbers(words(templates[n].encode())) for n in self.names]
         #: by the length of a run: hashes in order, and their templates and places
         self.runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        rows = [kept_row(len(n), coverage) if len(n) else 0 for n in self.templates]
         for size in (SHORT_GRAM, GRAM):
-            mine = [(t, self.grams(n, size)) for t, n in enumerate(self.templates)
-                    if len(n) >= GRAM and (SHORT_GRAM if len(n) < SHORT else GRAM) == size]
+            mine = [(t, g, winnowed(g, max(1, rows[t] - size + 1))) for t, n in enumerate(self.templates)
+                    if len(n) >= GRAM and (GRAM if rows[t] >= GRAM else SHORT_GRAM) == size and len(g := self.grams(n, size))]
             if mine:
-                keys = np.concatenate([g for _, g in mine])
-                owner = np.repeat([t for t, _ in mine], [len(g) for _, g in mine])
-                place = np.concatenate([np.arange(len(g)) for _, g in mine])
+                keys = np.concatenate([g[p] for _, g, p in mine])
+                owner = np.repeat([t for t, _, _ in mine], [len(p) for _, _, p in mine])
+                place = np.concatenate([p for _, _, p in mine])
                 order = np.argsort(keys, kind="stable")
                 self.runs[size] = keys[order], owner[order], place[order]
 
@@ -149,8 +170,12 @@ class Index:
             total = mixed(total ^ numbers[k:k + size])
         return total
 
-    def scan(self, text: bytes, coverage: float) -> list[dict]:
-        """Matches (license, coverage, start, end) with code point offsets, by start, then name."""
+    def scan(self, text: bytes, coverage: float | None = None) -> list[dict]:
+        """Matches (license, coverage, start, end) with code point offsets, by start, then name.
+
+        ``coverage``: the index's own or more.
+        """
+        coverage = max(self.coverage, coverage or 0.0)
         numbers = self.numbers(words(text))
         anchors = []
         for run, (keys, owner, place) in self.runs.items():
@@ -199,12 +224,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     templates = TEMPLATES if templates is None else templates
     if sum(len(t) for t in templates.values()) > MOST_TEMPLATES:
         raise ValueError(f"the templates have more than {MOST_TEMPLATES} characters")
-    block = spark.sparkContext.broadcast(templates)
+    block = spark.sparkContext.broadcast((templates, coverage))
+
+    def index_of(given: tuple[dict[str, str], float]) -> Index:
+        return Index(*given)
 
     @F.arrow_udf("array<struct<license string, coverage double, start long, end long>>")
     def run(texts: pa.Array) -> pa.Array:
-        index = built(block, Index)
-        return pa.array([index.scan(t, coverage) for t in blobs(texts)], pa.list_(_MATCH))
+        index = built(block, index_of)
+        return pa.array([index.scan(t) for t in blobs(texts)], pa.list_(_MATCH))
 
     found = docs.select(F.col(f"`{id_col}`").alias("id"), run(utf8(text_col)).alias("matches"))
     return found.select(F.col("id").alias(id_col), F.size("matches").cast("long").alias("n_matches"),

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from tabulae.llm import license_scan as s
 from tests_llm_phrase import phrase
 
@@ -75,3 +77,39 @@ def test_changes_all_over_a_long_template_are_found():
     words = s.TEMPLATES["MIT-text"].split()
     words[4::5] = ["changed"] * len(words[4::5])
     assert [m["license"] for m in s.Index(s.TEMPLATES).scan(" ".join(words).encode(), s.COVERAGE)] == ["MIT-text"]
+
+
+def test_winnowing_keeps_a_fingerprint_of_every_kept_row():
+    rng = np.random.default_rng(3)
+    for size in (1, 2, 5, 40, 200):
+        for window in (1, 2, 3, 7):
+            hashes = rng.integers(0, 9, size).astype(np.uint64)
+            places = set(s.winnowed(hashes, window).tolist())
+            assert all(places & set(range(i, i + window)) for i in range(size - window + 1)) and (places or size < window)
+    for size in range(3, 200):
+        row, left = s.kept_row(size, 0.8), -(-8 * size // 10)
+        assert row * (size - left + 1) >= left > (row - 1) * (size - left + 1)
+    index = s.Index(s.TEMPLATES)
+    every = sum(len(n) - s.GRAM + 1 for n in index.templates)
+    assert sum(len(r[0]) for r in index.runs.values()) < 0.75 * every
+
+
+def test_no_notice_with_enough_words_left_is_lost():
+    rng, index = random.Random(5), s.Index(s.TEMPLATES)
+    for k in range(600):
+        t = k % len(index.names)
+        notice = s.words(s.TEMPLATES[index.names[t]].encode())
+        changes = len(notice) - -(-8 * len(notice) // 10)
+        step, some = len(notice) / (changes + 1), rng.random() < 0.5
+        at = [round(step * (i + 1)) for i in range(changes)] if some else rng.sample(range(len(notice)), changes)
+        drops = set(rng.sample(at, min(len(at), rng.randrange(min(s.BAND, len(notice) // 2) // 2 + 1))))
+        left = [b"zz%d" % i if i in at else w for i, w in enumerate(notice) if i not in drops]
+        text = phrase(k, 30).encode() + b" " + b" ".join(left) + b" " + phrase(k + 1, 30).encode()
+        if full(notice, s.words(text))[1] >= s.COVERAGE * len(notice):
+            assert index.names[t] in {m["license"] for m in index.scan(text)}, (index.names[t], left)
+
+
+def test_of_equal_values_more_words_count():
+    index = s.Index(s.TEMPLATES)
+    for text in (b"licensed under the apache license version yy yy 2", b"this licensed under the gnu general public zz license version 3"):
+        assert index.scan(text)
