@@ -1,6 +1,7 @@
 """Sharding by balanced label propagation.
 
-Documents that share a link key (by default: the whole text) want to be in one shard.  Every
+Documents that share a link key (by default: the whole text) want to be in one shard.  They are
+dealt to shards by row, without regard to their links; propagation gathers them.  Every
 round counts the members of each key by shard, adds up these votes (of the keys whose other
 members the shard has room for) for each document and lets it ask for the shard with most of
 its neighbours.  Requests are granted by gain, the largest
@@ -104,16 +105,26 @@ def ranked_by_key(df: DataFrame, groups: list[str], buckets: int) -> DataFrame:
             .withColumn("rank", F.col("__offset") + F.col("__number")).drop("__offset", "__number"))
 
 
+def dealt(links: DataFrame, quota: list[int]) -> DataFrame:
+    """The start (row, shard): rows by their own hash, within shares as large as the quotas; it knows no links."""
+    lot = F.pmod(F.xxhash64("row"), F.lit(max(1, sum(quota))))
+    start = F.lit(len(quota) - 1)
+    for j in range(len(quota) - 1, -1, -1):
+        start = F.when(lot < sum(quota[:j + 1]), F.lit(j)).otherwise(start)
+    return links.select("row").distinct().select("row", start.cast("int").alias("shard"))
+
+
+def cut_links(links: DataFrame, placed: DataFrame) -> int:
+    """Memberships outside the shard that holds most of their key's members."""
+    parts = links.join(placed, "row").groupBy("key", "shard").agg(F.count("*").alias("n"))
+    return parts.groupBy("key").agg((F.sum("n") - F.max("n")).alias("cut")).agg(F.sum("cut")).first()[0] or 0
+
+
 def propagate(links: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
     """Shards (row, shard) of the linked documents; ``links``: a written table (row, key), one row per membership."""
     k = len(quota)
     spark = links.sparkSession
-    # rows start with their least key, in a shard that has room
-    lot = F.pmod(F.xxhash64("key"), F.lit(max(1, sum(quota))))
-    start = F.lit(k - 1)
-    for j in range(k - 1, -1, -1):
-        start = F.when(lot < sum(quota[:j + 1]), F.lit(j)).otherwise(start)
-    now = written(links.groupBy("row").agg(F.min("key").alias("key")).select("row", start.cast("int").alias("shard")))
+    now = written(dealt(links, quota))
     votes = [f"v{j}" for j in range(k)]
     for turn in range(rounds):
         members = links.join(now, "row")

@@ -2,7 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 from tabulae.llm.ranking import ranked
-from tabulae.llm.sharding import grants, propagate, shard
+from tabulae.llm.sharding import cut_links, dealt, grants, propagate, shard
 from tabulae.llm.common import written
 from tests_llm_phrase import phrase
 
@@ -80,3 +80,18 @@ def test_keys_up_to_a_shard_stay_whole_and_larger_ones_take_few_shards(spark):
     for r in rows:
         at[text[r.doc_id]].add(r.shard)
     assert [len(at[phrase(g, 5)]) for g in range(11)] == [4] + [1] * 10
+
+
+def test_propagation_moves_rows_and_cuts_fewer_links(spark):
+    links = written(spark.createDataFrame([(7 * g + i, g) for g in range(120) for i in range(2 + g % 6)], "row long, key long"))
+    n, quota = links.count(), [100] * 7
+    assert n <= sum(quota)
+    before, after = dealt(links, quota), propagate(links, quota)
+    start, end = ({r.row: r.shard for r in f.collect()} for f in (before, after))
+    assert start.keys() == end.keys() and len(start) == n
+    at = defaultdict(Counter)
+    for r in links.collect():
+        at[r.key][start[r.row]] += 1
+    assert cut_links(links, before) == sum(sum(c.values()) - max(c.values()) for c in at.values()) > n // 4
+    assert cut_links(links, after) <= n // 50
+    assert sum(start[r] != end[r] for r in start) > n // 4 and max(Counter(end.values()).values()) <= 110
