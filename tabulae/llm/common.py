@@ -63,10 +63,10 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tabulae-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends there, lost executors cost nothing."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,9 +7,9 @@ walking), is a permutation of the numbers: it gives each sequence its slot, with
 key to shuffle by and with an inverse.  Slots are cut into ranges; each range partition writes
 one shard of fixed-stride records, so that slot ``s`` of a shard is read at ``s * stride``.
 
-A first pass only counts the tokens of every input partition; the counts (one number per
-partition) give the second pass its first sequence number.  A partition whose second count
-differs stops the job, so a layout that changes in between is noticed.  Tokens are moved once.
+Every text is tokenised once: the first pass writes the ids of each input partition in blocks, with
+the place of each block in its partition; the sums per partition (one number each) give the blocks
+their first sequence numbers.  The second pass reads the written blocks, in any layout.
 Documents are laid end to end as the input's partitions hold them: the layout counts, and the
 same rows in other partitions give other sequences (a caller who wants one order whatever the
 layout sorts the documents first).
@@ -30,13 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulae.llm.common import built, shared_folder, ship
+from tabulae.llm.common import built, discard, shared_folder, ship, written
 from tabulae.llm.near_dup import mixed
 
 LENGTH = 1024
 #: Sequences of a shard: at least, at most, and the number of shards aimed at in between.
 LEAST_PER_SHARD, MOST_PER_SHARD, SHARDS = 4096, 65536, 256
 END, PAD = 50256, 65535
+#: Tokens of a written block, about.
+BLOCK = 1 << 18
 MARK = "SEQ\n"
 MAX_VOCABULARY = 64 << 20
 ROUNDS = 6
@@ -76,45 +78,42 @@ def _tokens(block, texts: pa.Array) -> Iterator[list[int]]:
         yield encode(text) if text else []
 
 
-def _counted(block):
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(len(t) + 1 for batch in batches for t in _tokens(block, batch.column(0)))
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())],
-                                         names=["part", "n"])
+def _blocks(block):
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The tokens of a partition in blocks: (part, at, n, tokens)."""
+        part, at, waiting, held = TaskContext.get().partitionId(), 0, [], 0
 
-    return counted
-
-
-def _pieces(block, starts, count: int, per_shard: int, length: int, key: int):
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sequences, whole but for the first and the last of the partition: (shard, slot, at, tokens)."""
-        start, end = starts.value.get(TaskContext.get().partitionId(), (0, 0))
-        at, waiting, held = start, [], 0
-
-        def cut(last: bool) -> pa.RecordBatch:
-            nonlocal at, waiting, held
-            stream = np.concatenate([np.empty(0, dtype="<u2"), *waiting])
-            bounds = [0]
-            while bounds[-1] < len(stream) and (last or len(stream) - bounds[-1] >= length - (at + bounds[-1]) % length):
-                bounds.append(min(len(stream), bounds[-1] + length - (at + bounds[-1]) % length))
-            where = at + np.array(bounds[:-1], dtype=np.int64)
-            slots = feistel(where // length, count, key)
-            rows = [stream[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
-            at, waiting, held = at + bounds[-1], [stream[bounds[-1]:]], len(stream) - bounds[-1]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(slots // per_shard, pa.int32()), pa.array(slots, pa.int64()), pa.array(where % length, pa.int32()),
-                 pa.array(rows, pa.binary())], names=["shard", "slot", "at", "tokens"])
+        def cut() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([at], pa.int64()), pa.array([held], pa.int64()),
+                                               pa.array([b"".join(waiting)], pa.binary())], names=["part", "at", "n", "tokens"])
 
         for batch in batches:
             for tokens in _tokens(block, batch.column(0)):
                 tokens.append(END)
-                waiting.append(np.array(tokens, dtype="<u2"))
+                waiting.append(np.array(tokens, dtype="<u2").tobytes())
                 held += len(tokens)
-                if held >= 256 * length:
-                    yield cut(False)
-        yield cut(True)
-        if at != end:
-            raise RuntimeError(f"the input's layout changed: {at - start} tokens in a partition that had {end - start}")
+                if held >= BLOCK:
+                    yield cut()
+                    at, waiting, held = at + held, [], 0
+        if held:
+            yield cut()
+
+    return blocks
+
+
+def _pieces(starts, count: int, per_shard: int, length: int, key: int):
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sequences, whole but for the first and the last of a block: (shard, slot, at, tokens)."""
+        for batch in batches:
+            for part, at, tokens in zip(*(c.to_pylist() for c in batch.columns)):
+                start, n = starts.value[part] + at, len(tokens) // 2
+                bounds = [0, *range(-start % length or length, n, length), n]
+                where = start + np.array(bounds[:-1], dtype=np.int64)
+                slots = feistel(where // length, count, key)
+                rows = [tokens[2 * a:2 * b] for a, b in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(slots // per_shard, pa.int32()), pa.array(slots, pa.int64()), pa.array(where % length, pa.int32()),
+                     pa.array(rows, pa.binary())], names=["shard", "slot", "at", "tokens"])
 
     return pieces
 
@@ -161,22 +160,23 @@ def materialise(docs: DataFrame, path: str, vocabulary: str, text_col: str = "te
     with open(vocabulary, "rb") as f:
         block = spark.sparkContext.broadcast(f.read())
     texts = docs.select(F.col(f"`{text_col}`").alias("text"))
-    counts = sorted((r["part"], r["n"]) for r in texts.mapInArrow(_counted(block), "part int, n long").collect())
+    ids = written(texts.mapInArrow(_blocks(block), "part int, at long, n long, tokens binary"), "zstd")
     starts, total = {}, 0
-    for part, n in counts:
-        starts[part] = (total, total + n)
+    for part, n in sorted(tuple(r) for r in ids.groupBy("part").agg(F.sum("n")).collect()):
+        starts[part] = total
         total += n
     count = -(-total // length)
     per_shard = per_shard or min(MOST_PER_SHARD, max(LEAST_PER_SHARD, 1 << (max(1, count // SHARDS) - 1).bit_length()))
     layout = {"sequences": count, "per_shard": per_shard, "length": length, "key": key, "stride": 8 + 2 * length + len(MARK)}
     if count:
-        pieces = texts.mapInArrow(_pieces(block, spark.sparkContext.broadcast(starts), count, per_shard, length, key),
-                                  "shard int, slot long, at int, tokens binary")
+        pieces = ids.select("part", "at", "tokens").mapInArrow(
+            _pieces(spark.sparkContext.broadcast(starts), count, per_shard, length, key), "shard int, slot long, at int, tokens binary")
         shards = -(-count // per_shard)
         (pieces.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "slot", "at")
          .mapInArrow(_records(length), "shard int, slot long, record binary").sortWithinPartitions("shard", "slot")
          .select("shard", F.col("record").cast("string").alias("value"))
          .write.partitionBy("shard").option("lineSep", MARK).text(path))
+    discard(ids)
     return layout
 
 
