@@ -103,17 +103,18 @@ def _blocks(block):
 
 def _pieces(starts, count: int, per_shard: int, length: int, key: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sequences, whole but for the first and the last of a block: (shard, slot, at, tokens)."""
+        """Sequences, whole but for the first and the last of a block: (shard, slot, at, n, compressed tokens)."""
+        pack = pa.Codec("zstd").compress
         for batch in batches:
             for part, at, tokens in zip(*(c.to_pylist() for c in batch.columns)):
                 start, n = starts.value[part] + at, len(tokens) // 2
                 bounds = [0, *range(-start % length or length, n, length), n]
                 where = start + np.array(bounds[:-1], dtype=np.int64)
                 slots = feistel(where // length, count, key)
-                rows = [tokens[2 * a:2 * b] for a, b in zip(bounds, bounds[1:])]
+                rows = [pack(tokens[2 * a:2 * b], asbytes=True) for a, b in zip(bounds, bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(slots // per_shard, pa.int32()), pa.array(slots, pa.int64()), pa.array(where % length, pa.int32()),
-                     pa.array(rows, pa.binary())], names=["shard", "slot", "at", "tokens"])
+                     pa.array(np.diff(bounds), pa.int32()), pa.array(rows, pa.binary())], names=["shard", "slot", "at", "n", "tokens"])
 
     return pieces
 
@@ -123,6 +124,7 @@ def _records(length: int):
         """Whole records of slots, whose pieces come in order."""
         now: tuple[int, int] | None = None
         parts: list[bytes] = []
+        unpack = pa.Codec("zstd").decompress
 
         def record() -> bytes:
             body = b"".join(parts)
@@ -130,12 +132,12 @@ def _records(length: int):
 
         for batch in batches:
             out: list[tuple[int, int, bytes]] = []
-            for shard, slot, tokens in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
+            for shard, slot, n, tokens in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4))):
                 if now != (shard, slot):
                     if now:
                         out.append((*now, record()))
                     now, parts = (shard, slot), []
-                parts.append(tokens)
+                parts.append(unpack(tokens, 2 * n, asbytes=True))
             yield _batch(out)
         yield _batch([(*now, record())] if now else [])
 
@@ -170,7 +172,7 @@ def materialise(docs: DataFrame, path: str, vocabulary: str, text_col: str = "te
     layout = {"sequences": count, "per_shard": per_shard, "length": length, "key": key, "stride": 8 + 2 * length + len(MARK)}
     if count:
         pieces = ids.select("part", "at", "tokens").mapInArrow(
-            _pieces(spark.sparkContext.broadcast(starts), count, per_shard, length, key), "shard int, slot long, at int, tokens binary")
+            _pieces(spark.sparkContext.broadcast(starts), count, per_shard, length, key), "shard int, slot long, at int, n int, tokens binary")
         shards = -(-count // per_shard)
         (pieces.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "slot", "at")
          .mapInArrow(_records(length), "shard int, slot long, record binary").sortWithinPartitions("shard", "slot")
