@@ -63,10 +63,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tabulae-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, compression: str | None = None) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage ends there, lost executors cost nothing."""
+def written(df: DataFrame, compression: str | None = None, level: int | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: lineage ends there, lost executors cost nothing.
+
+    ``level`` is Zstandard's, where that is the compression.
+    """
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path, compression=compression)
+    out = df.write if level is None else df.write.option("parquet.compression.codec.zstd.level", level)
+    out.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -39,6 +39,8 @@ LEAST_PER_SHARD, MOST_PER_SHARD, SHARDS = 4096, 65536, 256
 END, PAD = 50256, 65535
 #: Tokens of a written block, about.
 BLOCK = 1 << 18
+#: Zstandard's level for ids that are written or shuffled: 6 takes 5 % less than the lower defaults, level 9 hardly less again.
+LEVEL = 6
 MARK = "SEQ\n"
 MAX_VOCABULARY = 64 << 20
 ROUNDS = 6
@@ -104,7 +106,7 @@ def _blocks(block):
 def _pieces(starts, count: int, per_shard: int, length: int, key: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sequences, whole but for the first and the last of a block: (shard, slot, at, n, compressed tokens)."""
-        pack = pa.Codec("zstd").compress
+        pack = pa.Codec("zstd", compression_level=LEVEL).compress
         for batch in batches:
             for part, at, tokens in zip(*(c.to_pylist() for c in batch.columns)):
                 start, n = starts.value[part] + at, len(tokens) // 2
@@ -162,7 +164,7 @@ def materialise(docs: DataFrame, path: str, vocabulary: str, text_col: str = "te
     with open(vocabulary, "rb") as f:
         block = spark.sparkContext.broadcast(f.read())
     texts = docs.select(F.col(f"`{text_col}`").alias("text"))
-    ids = written(texts.mapInArrow(_blocks(block), "part int, at long, n long, tokens binary"), "zstd")
+    ids = written(texts.mapInArrow(_blocks(block), "part int, at long, n long, tokens binary"), "zstd", LEVEL)
     starts, total = {}, 0
     for part, n in sorted(tuple(r) for r in ids.groupBy("part").agg(F.sum("n")).collect()):
         starts[part] = total
