@@ -71,15 +71,36 @@ def exact_arrays(df: DataFrame, values: Mapping[str, str], ps: Sequence[float],
 def _found(df: DataFrame, columns: Sequence[str], ps: list[float], by: Sequence[str], interpolate: bool,
            accuracy: int) -> DataFrame:
     """Rows (*by, _pos, _j, _q): the quantile ``ps[_j]`` of column number ``_pos``."""
-    n_ps = len(ps)
-    steps = 8 if n_ps <= 12 else 2  # slices of a bracket
-    keys = [*by, "_pos"]
-    stream = df.select(*by, F.inline(F.array(*[F.struct(F.lit(i).alias("_pos"), F.col(f"`{c}`").cast("double").alias("_v"))
-                                               for i, c in enumerate(columns)]))).filter("_v IS NOT NULL")
-    margin = 5.0 / accuracy
-    grid = [min(1.0, max(0.0, p + margin * (2.0 * k / steps - 1.0))) for p in ps for k in range(steps + 1)]
-    stats = written(stream.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                              F.percentile_approx("_v", grid, accuracy).alias("_grid")))
+    stream = value_stream(df, columns, by)
+    stats = written(stream.groupBy(*by, "_pos").agg(F.count(F.lit(1)).alias("_n"),
+                                                    F.percentile_approx("_v", grid_of(ps, 5.0 / accuracy), accuracy).alias("_grid")))
+    return _exact(stream, ps, by, interpolate, stats)
+
+
+def value_stream(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows (*by, _pos, _v): the values of column number ``_pos`` that are not NULL."""
+    return df.select(*by, F.inline(F.array(*[F.struct(F.lit(i).alias("_pos"), F.col(f"`{c}`").cast("double").alias("_v"))
+                                             for i, c in enumerate(columns)]))).filter("_v IS NOT NULL")
+
+
+def _steps(ps: Sequence[float]) -> int:
+    """Slices of a bracket."""
+    return 8 if len(ps) <= 12 else 2
+
+
+def grid_of(ps: Sequence[float], margin: float) -> list[float]:
+    """The ranks at which a sketch is evaluated: ends and inner points of a bracket around every probability."""
+    steps = _steps(ps)
+    return [min(1.0, max(0.0, p + margin * (2.0 * k / steps - 1.0))) for p in ps for k in range(steps + 1)]
+
+
+def bracketed(df: DataFrame, columns: Sequence[str], ps: list[float], by: Sequence[str], interpolate: bool, stats: DataFrame) -> DataFrame:
+    """Rows (*by, _pos, _j, _q) of ``df`` from rows (*by, _pos, _n, _grid) of a sketch made before, evaluated at ``grid_of``."""
+    return _exact(value_stream(df, columns, by), ps, by, interpolate, written(stats))
+
+
+def _exact(stream: DataFrame, ps: list[float], by: Sequence[str], interpolate: bool, stats: DataFrame) -> DataFrame:
+    n_ps, steps, keys = len(ps), _steps(ps), [*by, "_pos"]
 
     # rows below, inside and above the brackets; the candidates with their slices
     def ends(at: int) -> Column:
