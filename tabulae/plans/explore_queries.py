@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabulae.operators import explore as X
 from tabulae.plans.registry import query, round_doubles, rsql, sround
-from tabulae.plans.tables import load, records
+from tabulae.plans.tables import kept_records, load, records
 
 TARGET = "l_extendedprice"
 NUMERICS = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
@@ -265,7 +265,7 @@ def q_quantile_curve_distributed(spark, sf_dir):
          {rsql('highest / lowest', 6)} AS ratio, {rsql('mx / md', 6)} AS max_over_median FROM e, t""")
 def q_period_variation(spark, sf_dir):
     """Quarters with the highest / lowest median, their ratio, and the target's max / median."""
-    r = records(spark, sf_dir)
+    r = kept_records(spark, sf_dir, ["period", TARGET])
     per = X.by_period(r, "period", TARGET)
     out = X.extremes(per, "period", "median")
     d = X.describe(r, [TARGET], percentiles=()).select((F.col("max") / F.col("median")).alias("max_over_median"))

@@ -165,7 +165,7 @@ def _tree_sql() -> str:
 @query("tree_depth3", _tree_sql())
 def q_tree_depth3(spark, sf_dir):
     """M7: one unbagged tree of depth three on the measures: cuts, rows and means of its nodes."""
-    train, _, _ = _splits(spark, sf_dir)
+    train, _, _ = _splits(spark, sf_dir, [LABEL, *NUMERICS])
     nodes = TR.grow(train, NUMERICS, LABEL, DEPTH, max_bins=64)
     found = TR.table(train, nodes)
     return found.select("node", "feature", rnd("threshold", 4).alias("threshold"), "n", rnd("mean", 2).alias("mean"))
@@ -176,7 +176,7 @@ def q_tree_depth3_error(spark, sf_dir):
     """Error of that tree and of the linear fit on the test year, scored in one pass."""
     from tabulae.operators.evaluate import metrics_table
 
-    train, _, test = _splits(spark, sf_dir)
+    train, _, test = _splits(spark, sf_dir, [LABEL, *NUMERICS])
     nodes = TR.grow(train, NUMERICS, LABEL, DEPTH, max_bins=64)
     fit = GR.solve(GR.cross_products(train, NUMERICS, [], LABEL))
     scored = test.select(F.col(LABEL), TR.prediction(nodes).alias("tree"), fit.prediction().alias("linear"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulae.sources.shared import written
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -33,6 +35,11 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
               .withColumn("year", F.year("o_orderdate")))
 
 
+def kept_records(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """Some columns of ``records``, joined once: queries of several passes read them again without the join's shuffle."""
+    return written(records(spark, sf_dir).select(*columns))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` with its region name (two dimension lookups, auto-broadcast by size)."""
     c = load(spark, sf_dir, "customer")
