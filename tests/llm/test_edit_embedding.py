@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tabulae.llm import edit_embedding as e
 from tests_llm_phrase import phrase
@@ -196,3 +197,68 @@ def test_an_id_with_two_texts_joins_their_groups(spark):
     docs = [(3, one), (5, one), (5, two), (9, two), (11, phrase(82, 40))]
     rows = e.near_texts(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.group_id) for r in rows} == {(3, 3), (5, 3), (9, 3), (11, 11)}
+
+
+def crowded_texts():
+    """A near pair that meets only in a footer, which many other texts of lengths between theirs have too."""
+    rng = random.Random(21)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(n))
+    footer, body = "uvwxyz 0123456789 uvwzyx 9876543210 zyx uwvy 1357924680 xwvu 86420 97531 vxz", word(48)
+    edited = "0123" + "".join("z" if i % 3 == 0 else c for i, c in enumerate(body))
+    docs = [(1, body + footer), (2, edited + footer)]
+    docs += [(10 + i, word(42 if i < 3 else 49 + i % 3) + footer) for i in range(33)]
+    return docs
+
+
+def test_near_texts_meet_in_a_bucket_however_many_lie_between(spark):
+    docs = crowded_texts()
+    a, b = docs[0][1], docs[1][1]
+    assert e.distance(a, b) <= 0.2 * len(b) and sum(len(a) < len(t) < len(b) for _, t in docs) > 3 * e.NEIGHBOURS
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for crowd in (e.CROWD, 7):  # one task for a bucket, or several
+        rows = {r.key: r.group for r in e.near_groups(frame, crowd=crowd).collect()}
+        assert rows == {hashlib.md5(t.encode()).hexdigest(): 1 for t in (a, b)}
+
+
+def test_the_second_pass_makes_all_pairs_of_a_bucket_in_other_groups():
+    rng = random.Random(22)
+    rows = sorted((band, 0, (100 + rng.randrange(12)) << 32 | rng.randrange(2) << 30, node, rng.choice([None, None, 7, 8]), 0)
+                  for band, many in ((4, 40), (8, 1), (12, 3)) for node in range(many))
+    rows = [r for r in rows for _ in range(1 + r[3] % 2)]  # equal texts
+    names = ["band", "part", "at", "node", "of", "side"]
+    columns = [pa.array([r[names.index(c)] for r in rows], pa.int64()) for c in ("band", "node", "at", "of", "part", "side")]
+    whole = pa.RecordBatch.from_arrays(columns, names=["band", "node", "at", "of", "part", "side"])
+    expected = set()
+    for x in rows:
+        for y in rows:
+            b = e.Bucketed(np.array([x[0], y[0]]), np.array([x[3], y[3]]), np.array([x[2], y[2]]), e.NEAR)
+            if x[0] == y[0] and x[3] < y[3] and b.meet(np.array([0]), np.array([1]))[0] and (x[4] is None or x[4] != y[4]):
+                expected.add((x[3], y[3], x[0] & 3))
+    for size in (1, 7, len(rows)):
+        out = [p for b in e._crossing(e.NEAR)(whole.slice(k, size) for k in range(0, len(rows), size))
+               for p in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), (b.column("met").to_numpy() >> 62 & 3).tolist())]
+        assert set(out) == expected and len(expected) > 100
+
+
+def test_shapes_rule_out_no_near_text():
+    rng = random.Random(23)
+    for words in (1, 3, 20, 60, 100, 130, 300):
+        text = phrase(words, words)
+        for rate in (0.0, 0.05, 0.1, 0.2):
+            other = edited_copy(rng, text, int(rate * len(text)))
+            if e.close(text, other, e.NEAR):
+                assert e.plausible(e.shape(text), e.shape(other), e.NEAR)
+    far = ["".join(rng.choice(letters) for _ in range(100)) for letters in ("abcdefgh", "ijklmnop")]
+    assert not e.plausible(*(e.shape(t) for t in far), e.NEAR)
+
+
+def test_rows_of_large_buckets_go_on_whatever_the_batches():
+    rng = random.Random(24)
+    rows = sorted((band, rng.randrange(50) << 32, node) for band in range(40) for node in range(rng.choice((1, 3, 9, 10, 11, 30))))
+    sizes = {band: sum(r[0] == band for r in rows) for band in range(40)}
+    expected = [r for r in rows if sizes[r[0]] > e.NEIGHBOURS + 1]
+    rows = [r for r in rows for _ in range(1 + r[2] % 3)]  # equal texts
+    whole = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 2, 1)], names=["band", "node", "at"])
+    for size in (1, 2, 9, 10, 13, 100, len(rows)):
+        out = [r for b in e._large(whole.slice(k, size) for k in range(0, len(rows), size)) for r in zip(*(c.to_pylist() for c in b.columns))]
+        assert sorted(out) == sorted((band, node, at) for band, at, node in expected)
