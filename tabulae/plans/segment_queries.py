@@ -18,6 +18,7 @@ from tabulae.operators import segment as G
 from tabulae.plans.explore_queries import RECORDS_SQL
 from tabulae.plans.registry import query, round_doubles, rsql, sround
 from tabulae.plans.tables import kept_records, load, records
+from tabulae.sources.shared import written
 
 VARS = ["l_quantity", "l_discount", "l_tax"]
 TARGET = "l_extendedprice"
@@ -173,7 +174,7 @@ def q_kmeans_profile(spark, sf_dir):
     r = kept_records(spark, sf_dir, [*VARS, TARGET])
     table, models = _grid(r)
     k = G.choose_k(table).first()["k"]
-    pred = models[k].transform(r)
+    pred = written(models[k].transform(r).select("cluster", *VARS, TARGET))  # several passes read the clusters
     prof = G.cluster_profile(pred, VARS, TARGET)
     return prof.join(X.median_ratio(pred, "cluster", TARGET).select("cluster", "ratio"), "cluster")
 
@@ -181,11 +182,12 @@ def q_kmeans_profile(spark, sf_dir):
 @query("pca_projection")
 def q_pca_projection(spark, sf_dir):
     """Sample of 5,000 records projected on the first two principal components with their cluster."""
-    r = kept_records(spark, sf_dir, ["l_orderkey", "l_linenumber", *VARS, TARGET])
+    r, key = kept_records(spark, sf_dir, ["l_orderkey", "l_linenumber", *VARS, TARGET]), ["l_orderkey", "l_linenumber"]
     table, models = _grid(r)
     k = G.choose_k(table).first()["k"]
-    pred = models[k].transform(r)
-    return G.pca_projection(pred, G.pca(pred), ["cluster", *VARS, TARGET], 5000, ["l_orderkey", "l_linenumber"])
+    components = G.pca(models[k].transform(r))
+    # the sample is the same before and after the transformation; before, only its rows are transformed
+    return G.pca_projection(models[k].transform(X.hash_sample(r, 5000, key, 42)), components, ["cluster", *VARS, TARGET], 5000, key)
 
 
 @query("contrast_specs")
